@@ -1,6 +1,9 @@
 """Row filters: nulls, ids, sentinels, cell validity, allowed values, group
 size and outlier trimming.
 
+All are lazy filters or joins over the input plan; predicates on plain
+columns reach the Parquet reader (``PushedFilters``). The only values brought
+to the driver are the two quartile bounds per trimmed column.
 Everything is a lazy filter or join over the input plan: predicates on plain
 columns reach the Parquet reader (``PushedFilters``), and data-dependent
 thresholds are scalar subqueries evaluated once by Spark — nothing is
@@ -101,13 +104,19 @@ def iqr_trim(
     """Remove outliers column by column with the interquartile-range rule.
 
     Sequential, like the source: the quartiles of column *k* are taken over the
-    rows that survived columns *1..k-1*. Each column's bounds are one scalar
-    subquery — a ``percentile_approx`` sketch (bounded memory, partial + final
-    aggregate) over a column-pruned scan — so the whole trim is one lazy plan.
-    Bounds are inclusive; with ``rel_error`` ≤ 1/rows the quartiles are exact.
+    rows that survived columns *1..k-1*. Per column one aggregate job computes
+    a ``percentile_approx`` sketch (bounded memory, partial + final aggregate,
+    column-pruned scan) and returns two doubles; they become literal bounds of
+    an inclusive range filter, which Parquet scans push down. With
+    ``rel_error`` ≤ 1/rows the quartiles are exact. No quartile (empty input)
+    → no row passes. Each column costs one pass over ``df``: materialise an
+    expensive ``df`` first (see :func:`tabforge.plans.prepare.prepare`).
     """
     out = df
     for c in columns:
-        b = quartile_bounds(out, c, factor=factor, rel_error=rel_error).scalar()
-        out = out.filter(F.col(c).between(b.getField("lower"), b.getField("upper")))
+        row = quartile_bounds(out, c, factor=factor, rel_error=rel_error).first()
+        bounds = row["bounds"] if row is not None else None
+        lo = bounds["lower"] if bounds is not None else None
+        hi = bounds["upper"] if bounds is not None else None
+        out = out.filter(F.col(c).between(F.lit(lo).cast("double"), F.lit(hi).cast("double")))
     return out

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabforge.config import LABEL_COLUMN, TUNING
 from tabforge.config.defaults import CV_FOLDS
 from tabforge.operators.features import slot_names
-from tabforge.operators.metrics import evaluate, f1_evaluator
+from tabforge.operators.metrics import f1_evaluator, weighted_metrics
 
 ESTIMATORS = {
     "DecisionTreeClassifier": DecisionTreeClassifier,
@@ -100,24 +100,37 @@ def train_select(
     seed: int = 42,
     parallelism: int = 4,
     select_by: str = "in_sample",
+    per_fold_features: bool = False,
 ) -> TrainResult:
     """Cross-validated grid search per classifier, then the best classifier.
 
-    Each classifier's whole pipeline (feature stages + estimator) is refit per
-    fold and grid point; ``parallelism`` fits run concurrently. The best grid
-    point is refit on all rows and scored on them (in-sample weighted F1,
-    precision, recall, as the source does); ``select_by='cv'`` ranks by the
-    mean cross-validated F1 instead. Highest score wins, the earlier classifier
-    on ties. The input is persisted (memory and disk) for the many passes.
+    By default the feature stages (indexers, one-hot, assembler, scaler) are
+    fitted once on all rows and the featurised frame is persisted; only the
+    estimator is refit per fold and grid point. That removes three fit passes
+    per fold and makes every category known to every fold (a category missing
+    from one fold cannot fail a fit). Tree and linear models see the same
+    slots either way; ``per_fold_features=True`` refits the whole pipeline per
+    fold instead. ``parallelism`` fits run concurrently.
+
+    The best grid point is refit on all rows and scored on them (in-sample
+    weighted F1, precision, recall, as the source does); ``select_by='cv'``
+    ranks by the mean cross-validated F1 instead. Highest score wins, the
+    earlier classifier on ties.
     """
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    feature_model = None
+    if per_fold_features:
+        data = base
+    else:
+        feature_model = Pipeline(stages=list(stages)).fit(base)
+        data = feature_model.transform(base).persist(StorageLevel.MEMORY_AND_DISK)
     results = []
     best = None
     try:
         for order, name in enumerate(tuning["classification_models"]):
             est = make_estimator(name, features_col, label_col, seed)
             cv = CrossValidator(
-                estimator=Pipeline(stages=[*stages, est]),
+                estimator=Pipeline(stages=[*stages, est]) if per_fold_features else est,
                 estimatorParamMaps=param_grid(est, tuning),
                 evaluator=f1_evaluator(label_col),
                 numFolds=folds,
@@ -125,9 +138,11 @@ def train_select(
                 parallelism=parallelism,
             )
             cv_model = cv.fit(data)
-            model = cv_model.bestModel
-            scored = model.transform(data)
-            metrics = evaluate(scored, label_col)
+            fitted = cv_model.bestModel
+            model = fitted if per_fold_features else PipelineModel(stages=[*feature_model.stages, fitted])
+            scored = fitted.transform(data)
+            m = weighted_metrics(scored, label_col).first()
+            metrics = {"f1": m["f1"], "precision": m["weighted_precision"], "recall": m["weighted_recall"]}
             cv_f1 = float(max(cv_model.avgMetrics))
             results.append({"order": order, "algorithm": name, "f1": metrics["f1"],
                             "weighted_precision": metrics["precision"], "weighted_recall": metrics["recall"],
@@ -138,7 +153,9 @@ def train_select(
                 params = {p.name: v for p, v in last.extractParamMap().items()}
                 best = (score, name, model, metrics, params, feature_importances(model, scored, features_col))
     finally:
-        data.unpersist()
+        if data is not base:
+            data.unpersist()
+        base.unpersist()
     if best is None:
         raise ValueError("no classifier configured")
     _, name, model, metrics, params, imps = best

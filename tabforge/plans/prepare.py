@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from tabforge.functions.mapping import encode_label
 from tabforge.operators import filters as flt
 from tabforge.operators.aggregates import group_counts
 from tabforge.operators.features import feature_stages
+from tabforge.session import shared_dir
 
 
 @dataclass
@@ -42,6 +44,9 @@ class PrepareSpec:
     numeric: list[str] = field(default_factory=lambda: list(NUMERIC_FEATURES))
     alpha_desc: str | None = ALPHA_DESC_COLUMN
     handle_invalid: str = "error"
+    # How the filtered frame is kept for the trimming passes: 'checkpoint'
+    # (reliable, in spark.checkpoint.dir), 'persist' (memory and disk) or None.
+    materialize: str | None = "checkpoint"
 
 
 def prepare(df: DataFrame, spec: PrepareSpec | None = None) -> DataFrame:
@@ -56,6 +61,11 @@ def prepare(df: DataFrame, spec: PrepareSpec | None = None) -> DataFrame:
         out = flt.allowed_values(out, s.category, s.allowed)
         bound = len(s.allowed)
     out = flt.min_group_size(out, s.category, s.min_count, max_groups=bound)
+    if s.outlier_columns and s.materialize == "checkpoint":
+        shared_dir(out.sparkSession)
+        out = out.checkpoint(eager=True)
+    elif s.outlier_columns and s.materialize == "persist":
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
     out = flt.iqr_trim(out, s.outlier_columns, s.iqr_factor, s.rel_error)
     return out.withColumn(s.label, encode_label(s.label))
 
