@@ -17,7 +17,6 @@ from tabforge.config import TIMESTAMP_FORMATS
 # whitespace. Rejects what Spark's cast would also take (``1d``, ``1f``) so the
 # result equals the strict numeric parser of the source application.
 _DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
-_LONG_LIMIT = 9.223372036854775e18
 
 
 def _col(c: Column | str) -> Column:
@@ -25,24 +24,68 @@ def _col(c: Column | str) -> Column:
 
 
 def safe_double(c: Column | str) -> Column:
-    """Text → double; non-decimal text, overflow (±inf) and NaN → null."""
-    body = F.regexp_extract(_col(c).cast("string"), _DECIMAL, 1)
-    x = F.when(body != "", body).try_cast("double")
-    return F.when(F.abs(x) != F.lit(float("inf")), x).cast("double")
+    """Text → double; non-decimal text, overflow (±inf) and NaN → null.
+
+    Written as a ``nullif`` chain: each ``nullif`` shares its first argument
+    (one evaluation), so the regex runs once per cell. (An unmatched cell
+    extracts ``''``, which ``try_cast`` already turns into null.)
+    """
+    x = F.regexp_extract(_col(c).cast("string"), _DECIMAL, 1).try_cast("double")
+    return F.nullif(F.nullif(x, F.lit(float("inf"))), F.lit(float("-inf")))
+
+
+def long_from_double(x: Column | str) -> Column:
+    """Integral double → bigint; fractional, non-finite, out of range → null."""
+    x = _col(x)
+    return F.when(F.floor(x) == x, x).try_cast("bigint")
 
 
 def safe_long(c: Column | str) -> Column:
     """Text → bigint via double: ``'2.0'``, ``'1e3'``, ``' 7 '``, ``'+4'`` are
-    ids; fractional, non-finite or out-of-range values → null."""
-    x = safe_double(c)
-    ok = (x == F.floor(x)) & (F.abs(x) < F.lit(_LONG_LIMIT))
-    return F.when(ok, x).cast("bigint")
+    ids; fractional, non-finite or out-of-range values → null.
+
+    Over whole columns prefer :func:`coerce_frame`, which parses once into a
+    column and checks integrality in a second projection.
+    """
+    return long_from_double(safe_double(c))
+
+
+# Pattern letter runs → the text shape they accept (for a cheap pre-check).
+_SHAPES = {"yyyy": r"\d{4}", "MMM": "[A-Za-z]{3}", "MM": r"\d{2}", "M": r"\d{1,2}", "dd": r"\d{2}",
+           "d": r"\d{1,2}", "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}"}
+
+
+def _shape(fmt: str) -> str | None:
+    """Regex of the texts a datetime pattern can parse, or None if unknown."""
+    out, i = "^", 0
+    while i < len(fmt):
+        j = i
+        while j < len(fmt) and fmt[j] == fmt[i]:
+            j += 1
+        run = fmt[i:j]
+        if run in _SHAPES:
+            out += _SHAPES[run]
+        elif fmt[i].isalpha():
+            return None
+        else:
+            out += "".join("\\" + ch if not ch.isalnum() else ch for ch in run)
+        i = j
+    return out + "$"
 
 
 def safe_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Text → timestamp_ntz, first format that parses wins; none → null."""
+    """Text → timestamp_ntz, first format that parses wins; none → null.
+
+    Each format is tried only on texts of its shape (a cheap regex), so a cell
+    costs at most one real parse attempt instead of one failed parse per
+    earlier format.
+    """
     c = _col(c).cast("string")
-    parsed = [F.try_to_timestamp(c, F.lit(f)) for f in formats]
+    parsed = []
+    for f in formats:
+        shape = _shape(f)
+        p = F.try_to_timestamp(c, F.lit(f))
+        parsed.append(F.when(c.rlike(shape), p) if shape else p)
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
@@ -90,3 +133,26 @@ def spark_type_of(dtype: str) -> str:
     if d.startswith("string") or d.startswith("object"):
         return "string"
     return "double"
+
+
+def coerce_frame(df, column_types: dict[str, str]):
+    """Coerce every configured column of ``df`` to its configured type.
+
+    Columns already of the target type are left alone. Integer columns are
+    parsed to double in one projection and narrowed in the next, so the parse
+    runs once per cell (the optimizer keeps a non-cheap column that is used
+    twice in its own projection instead of inlining it).
+    """
+    current = dict(df.dtypes)
+    todo = {c: d for c, d in column_types.items() if c in current and current[c] != spark_type_of(d)}
+    longs = {c for c, d in todo.items() if spark_type_of(d) == "bigint"}
+
+    def q(c):
+        return F.col(f"`{c}`")
+
+    first = [(safe_double(q(c)) if c in longs else coerce_by_dtype(q(c), todo[c])).alias(c) if c in todo else q(c)
+             for c in df.columns]
+    out = df.select(*first)
+    if longs:
+        out = out.select(*[long_from_double(q(c)).alias(c) if c in longs else q(c) for c in out.columns])
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tabforge.config import NA_TOKENS, SYMBOLS
 
 # Python's ASCII whitespace (str.isspace over ASCII): \t \n \v \f \r, \x1c-\x1f, space.
-_NON_BLANK = "[^\\t-\\r\\x1c-\\x20]"
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 
 
 def _col(c: Column | str) -> Column:
@@ -24,8 +24,13 @@ def na_to_null(c: Column | str, tokens: Iterable[str] = NA_TOKENS) -> Column:
 
 
 def ascii_fold(c: Column | str) -> Column:
-    """Drop every non-ASCII character; null stays null."""
-    return F.regexp_replace(_col(c), "[^\\x00-\\x7F]", "")
+    """Drop every non-ASCII character; null stays null.
+
+    Pure-ASCII text (byte length = character length, both cheap) skips the
+    regex.
+    """
+    c = _col(c)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.regexp_replace(c, "[^\\x00-\\x7F]", ""))
 
 
 def strip_symbols(c: Column | str, symbols: str = SYMBOLS) -> Column:
@@ -36,7 +41,7 @@ def strip_symbols(c: Column | str, symbols: str = SYMBOLS) -> Column:
 def cell_is_valid(c: Column | str, invalid: str = "?") -> Column:
     """Null is valid; text is valid unless it equals ``invalid`` or is blank."""
     c = _col(c)
-    return c.isNull() | ((c != F.lit(invalid)) & c.rlike(_NON_BLANK))
+    return c.isNull() | ((c != F.lit(invalid)) & (F.btrim(c, F.lit(_BLANKS)) != F.lit("")))
 
 
 def is_missing(c: Column | str, is_double: bool = False) -> Column:

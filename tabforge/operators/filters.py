@@ -15,7 +15,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tabforge.config import (
@@ -30,7 +32,7 @@ from tabforge.config import (
     SENTINEL_COLUMN,
     SENTINEL_VALUE,
 )
-from tabforge.functions.coerce import safe_long
+from tabforge.functions.coerce import coerce_frame
 from tabforge.functions.text import cell_is_valid
 from tabforge.operators.aggregates import group_counts, quartile_bounds
 
@@ -40,9 +42,24 @@ def require_columns(df: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS) ->
     return df.na.drop(how="any", subset=list(columns))
 
 
+def fence(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
+    """Observe the row count here (no extra job) and stop predicate pushdown.
+
+    Catalyst pushes a filter down through projections by substituting each
+    column by its defining expression. For parsed columns that copies regexes
+    and parsers into the pushed predicate (evaluated again in the projection).
+    Predicates are not pushed through an observation node, so a filter on a
+    parsed column placed after the fence reads the computed value. The
+    returned ``Observation`` holds ``rows`` once the frame has been executed.
+    """
+    obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def numeric_id(df: DataFrame, column: str = ID_COLUMN) -> DataFrame:
     """Turn the id column into bigint and drop rows whose id does not parse."""
-    return df.withColumn(column, safe_long(column)).filter(F.col(column).isNotNull())
+    parsed, _ = fence(coerce_frame(df, {column: "Int64"}), "parsed_id")
+    return parsed.filter(F.col(column).isNotNull())
 
 
 def exclude_value(df: DataFrame, column: str = SENTINEL_COLUMN, value: str = SENTINEL_VALUE) -> DataFrame:

@@ -7,6 +7,7 @@ model objects and a handful of metric values live on the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -101,6 +102,7 @@ def train_select(
     parallelism: int = 4,
     select_by: str = "in_sample",
     per_fold_features: bool = False,
+    model_parallelism: int = 4,
 ) -> TrainResult:
     """Cross-validated grid search per classifier, then the best classifier.
 
@@ -110,7 +112,9 @@ def train_select(
     per fold and makes every category known to every fold (a category missing
     from one fold cannot fail a fit). Tree and linear models see the same
     slots either way; ``per_fold_features=True`` refits the whole pipeline per
-    fold instead. ``parallelism`` fits run concurrently.
+    fold instead. Up to ``model_parallelism`` classifiers are cross-validated
+    at once, each running ``parallelism`` fits concurrently (Spark schedules
+    the jobs side by side; small fits no longer wait for each other).
 
     The best grid point is refit on all rows and scored on them (in-sample
     weighted F1, precision, recall, as the source does); ``select_by='cv'``
@@ -124,34 +128,42 @@ def train_select(
     else:
         feature_model = Pipeline(stages=list(stages)).fit(base)
         data = feature_model.transform(base).persist(StorageLevel.MEMORY_AND_DISK)
-    results = []
-    best = None
+    def run_one(order: int, name: str) -> dict:
+        est = make_estimator(name, features_col, label_col, seed)
+        cv = CrossValidator(
+            estimator=Pipeline(stages=[*stages, est]) if per_fold_features else est,
+            estimatorParamMaps=param_grid(est, tuning),
+            evaluator=f1_evaluator(label_col),
+            numFolds=folds,
+            seed=seed,
+            parallelism=parallelism,
+        )
+        cv_model = cv.fit(data)
+        fitted = cv_model.bestModel
+        model = fitted if per_fold_features else PipelineModel(stages=[*feature_model.stages, fitted])
+        scored = fitted.transform(data)
+        m = weighted_metrics(scored, label_col).first()
+        return {"order": order, "algorithm": name, "f1": m["f1"], "weighted_precision": m["weighted_precision"],
+                "weighted_recall": m["weighted_recall"], "cv_f1": float(max(cv_model.avgMetrics)),
+                "_model": model, "_scored": scored}
+
+    names = list(tuning["classification_models"])
     try:
-        for order, name in enumerate(tuning["classification_models"]):
-            est = make_estimator(name, features_col, label_col, seed)
-            cv = CrossValidator(
-                estimator=Pipeline(stages=[*stages, est]) if per_fold_features else est,
-                estimatorParamMaps=param_grid(est, tuning),
-                evaluator=f1_evaluator(label_col),
-                numFolds=folds,
-                seed=seed,
-                parallelism=parallelism,
-            )
-            cv_model = cv.fit(data)
-            fitted = cv_model.bestModel
-            model = fitted if per_fold_features else PipelineModel(stages=[*feature_model.stages, fitted])
-            scored = fitted.transform(data)
-            m = weighted_metrics(scored, label_col).first()
-            metrics = {"f1": m["f1"], "precision": m["weighted_precision"], "recall": m["weighted_recall"]}
-            cv_f1 = float(max(cv_model.avgMetrics))
-            results.append({"order": order, "algorithm": name, "f1": metrics["f1"],
-                            "weighted_precision": metrics["precision"], "weighted_recall": metrics["recall"],
-                            "cv_f1": cv_f1})
-            score = cv_f1 if select_by == "cv" else metrics["f1"]
+        with ThreadPoolExecutor(max_workers=max(1, min(model_parallelism, len(names)))) as pool:
+            runs = list(pool.map(lambda a: run_one(*a), enumerate(names)))
+        best = None
+        for r in runs:   # config order: strict '>' keeps the earlier one on ties
+            score = r["cv_f1"] if select_by == "cv" else r["f1"]
             if best is None or score > best[0]:
-                last = model.stages[-1]
-                params = {p.name: v for p, v in last.extractParamMap().items()}
-                best = (score, name, model, metrics, params, feature_importances(model, scored, features_col))
+                best = (score, r)
+        results = [{k: v for k, v in r.items() if not k.startswith("_")} for r in runs]
+        if best is not None:
+            r = best[1]
+            model = r["_model"]
+            params = {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
+            metrics = {"f1": r["f1"], "precision": r["weighted_precision"], "recall": r["weighted_recall"]}
+            best = (best[0], r["algorithm"], model, metrics, params,
+                    feature_importances(model, r["_scored"], features_col))
     finally:
         if data is not base:
             data.unpersist()
