@@ -17,7 +17,7 @@ from functools import reduce
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.config import (
@@ -42,23 +42,24 @@ def require_columns(df: DataFrame, columns: Sequence[str] = REQUIRED_COLUMNS) ->
     return df.na.drop(how="any", subset=list(columns))
 
 
-def fence(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
+def fence(df: DataFrame, label: str) -> DataFrame:
     """Observe the row count here (no extra job) and stop predicate pushdown.
 
     Catalyst pushes a filter down through projections by substituting each
     column by its defining expression. For parsed columns that copies regexes
     and parsers into the pushed predicate (evaluated again in the projection).
     Predicates are not pushed through an observation node, so a filter on a
-    parsed column placed after the fence reads the computed value. The
-    returned ``Observation`` holds ``rows`` once the frame has been executed.
+    parsed column placed after the fence reads the computed value. The metric
+    ``rows`` is published under ``tabforge.<label>.<id>`` to query listeners.
+    (Name-based, deliberately: ``Observation`` objects attach a manager to the
+    session that fitted logistic-regression models then fail to serialize.)
     """
-    obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(f"tabforge.{label}.{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"))
 
 
 def numeric_id(df: DataFrame, column: str = ID_COLUMN) -> DataFrame:
     """Turn the id column into bigint and drop rows whose id does not parse."""
-    parsed, _ = fence(coerce_frame(df, {column: "Int64"}), "parsed_id")
+    parsed = fence(coerce_frame(df, {column: "Int64"}), "parsed_id")
     return parsed.filter(F.col(column).isNotNull())
 
 

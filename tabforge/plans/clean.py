@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.config import (
@@ -70,36 +70,26 @@ def coerce_columns(df: DataFrame, column_types: dict[str, str]) -> DataFrame:
 
 
 def clean(raw: DataFrame, spec: CleanSpec | None = None) -> DataFrame:
-    """All-text frame → typed wide frame (see module doc for the steps)."""
-    return clean_with_counts(raw, spec)[0]
+    """All-text frame → typed wide frame (see module doc for the steps).
 
-
-def clean_with_counts(raw: DataFrame, spec: CleanSpec | None = None) -> tuple[DataFrame, dict[str, Observation]]:
-    """:func:`clean` plus per-step row counts.
-
-    The counts are ``Observation`` s filled by the first action on the frame
-    (``obs.get['rows']``): rows after the required-column filter, after the
-    id parse, and after the sentinel filter, text normalisation and validity
-    filter. Observing costs no extra pass; it also fences the filters on
-    parsed values (see :func:`tabforge.operators.filters.fence`).
+    Row counts after the required-column filter, the id parse, the text
+    normalisation and at the end are observed (metrics ``tabforge.<step>.*``,
+    no extra pass); the observation nodes also keep filters on parsed values
+    from being pushed below their projections
+    (:func:`tabforge.operators.filters.fence`).
     """
     s = spec or CleanSpec()
-    counts: dict[str, Observation] = {}
     df = cols.normalize_headers(cols.drop_unnamed(raw))
     df = flt.require_columns(df, s.required)
-    df, counts["required"] = flt.fence(df, "required")
-    df = flt.coerce_frame(df, {s.id_column: "Int64"})
-    df, counts["parsed_id"] = flt.fence(df, "parsed_id")
-    df = df.filter(F.col(s.id_column).isNotNull())
+    df = flt.fence(df, "required")
+    df = flt.numeric_id(df, s.id_column)
     if s.sentinel_column:
         df = flt.exclude_value(df, s.sentinel_column, s.sentinel_value)
     df = normalize_text_columns(df, s.id_column, s.symbols)
-    df, counts["normalized"] = flt.fence(df, "normalized")
+    df = flt.fence(df, "normalized")
     df = flt.valid_rows(df)
     if s.whitelist:
         df = df.withColumns({c: whitelist(c, allowed) for c, allowed in s.whitelist.items()})
     if s.label_source:
         df = df.withColumn(s.label_column, map_with_default(s.label_source, {s.positive_code: "yes"}, "no"))
-    df = coerce_columns(df, s.column_types)
-    df, counts["valid"] = flt.fence(df, "valid")
-    return df, counts
+    return flt.fence(coerce_columns(df, s.column_types), "cleaned")
