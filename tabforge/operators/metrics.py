@@ -26,16 +26,23 @@ def f1_evaluator(label: str, prediction: str = "prediction") -> MulticlassClassi
 def weighted_metrics(predictions: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """One row ``(f1, weighted_precision, weighted_recall, accuracy, rows)``.
 
-    Confusion counts per (label, prediction) pair come from a partial + final
-    aggregate; per-class precision, recall and F1 are weighted by the class
-    share of the labels, as in ``MulticlassMetrics``. The class set is bounded
-    by the label's cardinality, so the second level of aggregation is tiny.
+    One scan: confusion counts per (label, prediction) pair (partial + final
+    aggregate), each pair then contributes to its label's class (support, true
+    positives) and to its prediction's class (predicted count); per-class
+    precision, recall and F1 are weighted by the class share of the labels, as
+    in ``MulticlassMetrics``. The class set is bounded by the label's
+    cardinality, so everything after the first aggregate is tiny.
     """
     pairs = predictions.groupBy(F.col(label).cast("double").alias("y"),
                                 F.col(prediction).cast("double").alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    y = pairs.groupBy("y").agg(F.sum("n").alias("n_y"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    p = pairs.groupBy(F.col("p").alias("y")).agg(F.sum("n").alias("n_p"))
-    per = y.join(p, "y", "full_outer").na.fill(0, ["n_y", "tp", "n_p"])
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("y").alias("k"), F.col("n").alias("n_y"),
+                 F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(zero).alias("tp"), zero.alias("n_p")),
+        F.struct(F.col("p").alias("k"), zero.alias("n_y"), zero.alias("tp"), F.col("n").alias("n_p")),
+    )
+    per = (pairs.select(F.inline(sides))
+           .groupBy("k").agg(F.sum("n_y").alias("n_y"), F.sum("tp").alias("tp"), F.sum("n_p").alias("n_p")))
     per = per.withColumns({
         "prec": F.when(F.col("n_p") > 0, F.col("tp") / F.col("n_p")).otherwise(0.0),
         "rec": F.when(F.col("n_y") > 0, F.col("tp") / F.col("n_y")).otherwise(0.0),
