@@ -35,8 +35,10 @@ def read_text_table(
 
     The header row names the columns; with ``header`` given, no schema
     inference pass over the data is needed (the first line is still skipped).
-    Splittable text formats parallelise by file block, so the scan scales with
-    the input. Blank headers come back as ``_cN`` (dropped by
+    Files are split by block (``maxPartitionBytes``), so the scan scales with
+    the input; quoted cells holding line breaks need
+    ``options={"multiLine": "true"}``, which reads each file in one task.
+    Blank headers come back as ``_cN`` (dropped by
     :func:`tabforge.operators.columns.drop_unnamed`).
     """
     reader = spark.read.format(fmt).option("header", "true").option("mode", "PERMISSIVE")
@@ -46,7 +48,6 @@ def read_text_table(
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
-        .option("multiLine", "true")
     )
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
