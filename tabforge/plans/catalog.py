@@ -417,7 +417,7 @@ def assemble(spark, sf_dir):
 @register("min_max_scale", "WITH m AS (SELECT " + ", ".join(
     f"min({c}) AS lo{i}, max({c}) AS hi{i}" for i, c in enumerate(_ASSEMBLE_COLS)) +
     " FROM lineitem)\nSELECT l_orderkey, l_linenumber, " + ", ".join(
-    f"CASE WHEN hi{i} = lo{i} THEN 0.5 ELSE ({c} - lo{i}) / (hi{i} - lo{i}) END AS s_{i}"
+    f"CASE WHEN hi{i} = lo{i} THEN 0.5 ELSE ({c} - lo{i}) * (1.0 / (hi{i} - lo{i})) END AS s_{i}"
     for i, c in enumerate(_ASSEMBLE_COLS)) + " FROM lineitem, m")
 def min_max_scale(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", *_ASSEMBLE_COLS])
