@@ -26,10 +26,74 @@ def group_counts(df: DataFrame, column: str | Sequence[str]) -> DataFrame:
 
 def _accuracy(rel_error: float) -> int:
     if not rel_error > 0:
-        raise ValueError("rel_error must be > 0 (use a value ≤ 1/rows for exact quartiles)")
+        raise ValueError("rel_error must be > 0 for the sketch; use exact_quantiles for 0")
     return max(1, int(math.ceil(1.0 / rel_error)))
 
 
+def exact_quantiles(
+    df: DataFrame,
+    column: str,
+    probs: Sequence[float],
+    buckets: int = 4096,
+    collect_limit: int = 100_000,
+    max_passes: int = 200,
+) -> list[float | None]:
+    """Exact lower quantiles (``percentile_disc``): for each p the k-th
+    smallest non-null, non-NaN value, k = max(1, ceil(p * n)).
+
+    Distributed selection by histogram refinement. One pass gives n, min, max.
+    Each further pass buckets only the rows inside every unresolved target's
+    current value range into at most ``buckets`` equal-width buckets (count,
+    min, max per bucket; partial + final aggregate, so at most
+    ``buckets × targets`` rows reach the driver) and narrows the range to the
+    bucket holding the target rank. A target is done when its range holds one
+    distinct value, or at most ``collect_limit`` rows, which are then ranked by
+    a bounded ordered take. Typical data needs two or three passes; no pass
+    holds more than a bounded number of values in any task.
+    """
+    x = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    n = st["n"]
+    if not n:
+        return [None for _ in probs]
+    # per target: [rank within range, lo, hi, rows in range, answer]
+    tg = [[max(1, int(math.ceil(float(p) * n))), st["lo"], st["hi"], n, None] for p in probs]
+    for _ in range(max_passes):
+        todo = []
+        for i, t in enumerate(tg):
+            if t[4] is not None:
+                continue
+            if t[1] == t[2]:
+                t[4] = t[1]
+            elif t[3] <= collect_limit:
+                vals = (x.filter(F.col("x").between(F.lit(t[1]), F.lit(t[2])))
+                        .orderBy("x").limit(t[0]).agg(F.max("x").alias("v")).first())
+                t[4] = vals["v"]
+            else:
+                todo.append(i)
+        if not todo:
+            return [t[4] for t in tg]
+        keys = []
+        for i in todo:
+            lo, hi = tg[i][1], tg[i][2]
+            w = hi / buckets - lo / buckets          # no overflow for ranges near the double limit
+            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(w)), F.lit(buckets - 1)).cast("int")
+            keys.append(F.when(F.col("x").between(F.lit(lo), F.lit(hi)), F.struct(F.lit(i).alias("t"), b.alias("b"))))
+        hist = (x.select("x", F.explode(F.array(*keys)).alias("k")).filter(F.col("k").isNotNull())
+                .select("k.t", "k.b", "x")
+                .groupBy("t", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi")))
+        rows = sorted(hist.collect(), key=lambda r: (r["t"], r["b"]))
+        for i in todo:
+            t = tg[i]
+            seen = 0
+            for r in (r for r in rows if r["t"] == i):
+                if seen + r["c"] >= t[0]:
+                    t[0], t[1], t[2], t[3] = t[0] - seen, r["lo"], r["hi"], r["c"]
+                    break
+                seen += r["c"]
+    raise RuntimeError(f"exact_quantiles did not converge in {max_passes} passes")
+
+
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], rel_error: float = QUANTILE_REL_ERROR) -> Column:
     """``percentile_approx`` aggregate expression (an array, one per prob).
 
@@ -41,7 +105,13 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], rel_error: flo
 
 
 def quartiles(df: DataFrame, column: str, rel_error: float = QUANTILE_REL_ERROR) -> DataFrame:
-    """One row: ``q1`` and ``q3`` of ``column``."""
+    """One row: ``q1`` and ``q3`` of ``column``. ``rel_error`` > 0 uses the
+    ``percentile_approx`` sketch (lazy); 0 computes exact quartiles with
+    :func:`exact_quantiles` (eager passes) and returns them as a one-row frame."""
+    if rel_error == 0:
+        q1, q3 = exact_quantiles(df, column, [0.25, 0.75])
+        return df.sparkSession.range(1).select(F.lit(q1).cast("double").alias("q1"),
+                                               F.lit(q3).cast("double").alias("q3"))
     q = quantiles(df, column, [0.25, 0.75], rel_error)
     return df.agg(q.alias("q")).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
 

@@ -139,7 +139,7 @@ DOC_PREPARE = PrepareSpec(
     allowed=["en", "de", "fr"],
     min_count=10,
     outlier_columns=["n_chars", "n_words", "n_lines"],
-    rel_error=1e-6,
+    rel_error=0.0,
     label="response",
     numeric=["n_chars", "n_words", "n_lines"],
     alpha_desc="source",

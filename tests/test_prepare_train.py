@@ -36,7 +36,7 @@ def ml_ready(spark):
 
 
 def test_prepare(spark, ml_ready):
-    spec = PrepareSpec(rel_error=1e-6, materialize="persist")
+    spec = PrepareSpec(rel_error=0.0, materialize="persist")
     out = prepare(ml_ready, spec)
     assert "patient_id" not in out.columns
     assert dict(out.dtypes)["response"] == "int"
@@ -47,7 +47,7 @@ def test_prepare(spark, ml_ready):
 
 def test_trim_never_widens(spark, ml_ready):
     base = flt.drop_any_null(ml_ready)
-    out = flt.iqr_trim(base, ["age", "lesion_new"], rel_error=1e-6)
+    out = flt.iqr_trim(base, ["age", "lesion_new"], rel_error=0.0)
     lo, hi = base.agg(F.min("age"), F.max("age")).first()
     lo2, hi2 = out.agg(F.min("age"), F.max("age")).first()
     assert lo <= lo2 and hi2 <= hi and out.count() <= base.count()
@@ -77,7 +77,7 @@ def test_weighted_metrics_match_evaluator(spark):
 
 @pytest.fixture(scope="module")
 def trained(spark, ml_ready):
-    spec = PrepareSpec(rel_error=1e-6, materialize="persist")
+    spec = PrepareSpec(rel_error=0.0, materialize="persist")
     ready = prepare(ml_ready, spec)
     res = train_select(ready, stages_for(spec), SMALL_GRID, "response", folds=3, seed=1, parallelism=2)
     return spec, ready, res
@@ -127,3 +127,24 @@ def test_runs_registry_and_scoring(spark, trained, tmp_path):
     q.awaitTermination()
     stream = {r.rid: (r.response, r.input_error) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert stream == batch
+
+
+@pytest.mark.parametrize("kind", ["uniform", "dups", "heavy", "extreme", "single"])
+def test_exact_quantiles(spark, kind):
+    import math
+
+    from tabforge.operators.aggregates import exact_quantiles
+
+    rnd = random.Random(5)
+    vals = {
+        "uniform": lambda: [rnd.uniform(0, 100) for _ in range(5000)],
+        "dups": lambda: [float(rnd.randint(0, 3)) for _ in range(5000)],
+        "heavy": lambda: [rnd.paretovariate(0.5) * rnd.choice([-1, 1]) for _ in range(5000)],
+        "extreme": lambda: [-1.7e308, 1.7e308] + [rnd.gauss(0, 1) for _ in range(3000)],
+        "single": lambda: [2.5],
+    }[kind]()
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    s = sorted(vals)
+    want = [s[max(1, math.ceil(p * len(s))) - 1] for p in probs]
+    assert exact_quantiles(df, "v", probs, buckets=16, collect_limit=100) == want
