@@ -113,12 +113,12 @@ def test_runs_registry_and_scoring(spark, trained, tmp_path):
 
     reqs = spark.createDataFrame(
         [(i, str(30.0 + i), "M" if i % 2 else "F", str(float(i % 7)), str(float(i % 5)), "1.5", "RR")
-         for i in range(20)] + [(99, "abc", "M", "1", "1", "1", "RR")],
+         for i in range(20)] + [(99, "abc", "M", "1", "1", "1", "RR"), (98, "40", "M", "1", "1", "1", "ZZ")],
         "rid int, age string, gender string, current_edss string, lesion_new string, wb_new string, ms_type string")
     typed = scoring_input(reqs, ["age", "current_edss", "lesion_new", "wb_new"], ["gender", "ms_type"])
     batch = {r.rid: (r.response, r.input_error) for r in score_checked(model, typed, keep=["rid"]).collect()}
-    assert len(batch) == 21 and batch[99] == (None, "age")
-    assert all(v[0] in ("Yes", "No") for k, v in batch.items() if k != 99)
+    assert len(batch) == 22 and batch[99] == (None, "age") and batch[98] == (None, "ms_type")
+    assert all(v[0] in ("Yes", "No") for k, v in batch.items() if k not in (98, 99))
 
     src = str(tmp_path / "req")
     reqs.write.parquet(src)
