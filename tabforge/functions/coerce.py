@@ -17,6 +17,8 @@ from tabforge.config import TIMESTAMP_FORMATS
 # whitespace. Rejects what Spark's cast would also take (``1d``, ``1f``) so the
 # result equals the strict numeric parser of the source application.
 _DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+# Any character outside the decimal alphabet (digits, signs, point, e/E, \s).
+_NOT_DECIMAL_CHAR = r"[^0-9+\-.eE \t\n\x0B\f\r]"
 
 
 def _col(c: Column | str) -> Column:
@@ -26,11 +28,16 @@ def _col(c: Column | str) -> Column:
 def safe_double(c: Column | str) -> Column:
     """Text → double; non-decimal text, overflow (±inf) and NaN → null.
 
-    Written as a ``nullif`` chain: each ``nullif`` shares its first argument
-    (one evaluation), so the regex runs once per cell. (An unmatched cell
-    extracts ``''``, which ``try_cast`` already turns into null.)
+    Accepts exactly the plain decimal grammar (optional sign, digits with an
+    optional point, optional exponent, surrounding whitespace). Spark's own
+    cast accepts more only through letters or ``_`` (``1d``, ``Infinity``,
+    ``NaN``, hex), so a text made of digits, signs, points, ``e``/``E`` and
+    whitespace alone is handed to ``try_cast`` (which rejects any malformed
+    arrangement of those characters). The check is one character-class scan —
+    no backtracking, no capture — and the ``nullif`` chain shares its argument.
     """
-    x = F.regexp_extract(_col(c).cast("string"), _DECIMAL, 1).try_cast("double")
+    c = _col(c).cast("string")
+    x = F.when(~c.rlike(_NOT_DECIMAL_CHAR), c).try_cast("double")
     return F.nullif(F.nullif(x, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
@@ -73,19 +80,41 @@ def _shape(fmt: str) -> str | None:
     return out + "$"
 
 
+def _cheap_guard(c: Column, fmt: str) -> Column | None:
+    """Length bounds and separator bytes a text of ``fmt`` must have."""
+    lo = hi = 0
+    i = 0
+    while i < len(fmt):
+        j = i
+        while j < len(fmt) and fmt[j] == fmt[i]:
+            j += 1
+        run = fmt[i:j]
+        if run in ("M", "d"):
+            lo, hi = lo + 1, hi + 2
+        elif fmt[i].isalpha() or run in ("MMM",):
+            lo, hi = lo + len(run), hi + len(run)
+        else:
+            lo, hi = lo + len(run), hi + len(run)
+        i = j
+    cond = F.length(c).between(lo, hi)
+    for sep in sorted({ch for ch in fmt if not ch.isalnum()}):
+        cond = cond & c.contains(sep)
+    return cond
+
+
 def safe_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """Text → timestamp_ntz, first format that parses wins; none → null.
 
-    Each format is tried only on texts of its shape (a cheap regex), so a cell
-    costs at most one real parse attempt instead of one failed parse per
-    earlier format.
+    Each format is tried only on texts of its length and separators (cheap
+    byte checks) and shape (a short regex), so a cell costs at most one real
+    parse attempt instead of one failed parse per earlier format.
     """
     c = _col(c).cast("string")
     parsed = []
     for f in formats:
         shape = _shape(f)
         p = F.try_to_timestamp(c, F.lit(f))
-        parsed.append(F.when(c.rlike(shape), p) if shape else p)
+        parsed.append(F.when(_cheap_guard(c, f) & c.rlike(shape), p) if shape else p)
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 

@@ -34,14 +34,24 @@ def ascii_fold(c: Column | str) -> Column:
 
 
 def strip_symbols(c: Column | str, symbols: str = SYMBOLS) -> Column:
-    """Delete each of ``symbols`` from the text (one ``translate``)."""
-    return F.translate(_col(c), symbols, "")
+    """Delete each of ``symbols`` from the text. ``translate`` runs only on
+    texts containing one of them (``contains`` is a plain byte search)."""
+    c = _col(c)
+    if not symbols:
+        return c
+    has = c.contains(symbols[0])
+    for ch in symbols[1:]:
+        has = has | c.contains(ch)
+    return F.when(has, F.translate(c, symbols, "")).otherwise(c)
 
 
 def cell_is_valid(c: Column | str, invalid: str = "?") -> Column:
     """Null is valid; text is valid unless it equals ``invalid`` or is blank."""
     c = _col(c)
-    return c.isNull() | ((c != F.lit(invalid)) & (F.btrim(c, F.lit(_BLANKS)) != F.lit("")))
+    # Fast path without allocation: a first byte above 0x20 (byte-wise
+    # c >= '!') is not blank; only texts starting with a blank are trimmed.
+    non_blank = F.when(c >= F.lit("!"), F.lit(True)).otherwise(F.btrim(c, F.lit(_BLANKS)) != F.lit(""))
+    return c.isNull() | ((c != F.lit(invalid)) & non_blank)
 
 
 def is_missing(c: Column | str, is_double: bool = False) -> Column:
