@@ -72,8 +72,8 @@ def coerce_columns(df: DataFrame, column_types: dict[str, str]) -> DataFrame:
 def clean(raw: DataFrame, spec: CleanSpec | None = None) -> DataFrame:
     """All-text frame → typed wide frame (see module doc for the steps).
 
-    Row counts after the required-column filter, the id parse, the text
-    normalisation and at the end are observed (metrics ``tabforge.<step>.*``,
+    Row counts after the id parse, the text normalisation and at the end are
+    observed (metrics ``tabforge.<step>.*``,
     no extra pass); the observation nodes also keep filters on parsed values
     from being pushed below their projections
     (:func:`tabforge.operators.filters.fence`).
@@ -81,7 +81,6 @@ def clean(raw: DataFrame, spec: CleanSpec | None = None) -> DataFrame:
     s = spec or CleanSpec()
     df = cols.normalize_headers(cols.drop_unnamed(raw))
     df = flt.require_columns(df, s.required)
-    df = flt.fence(df, "required")
     df = flt.numeric_id(df, s.id_column)
     if s.sentinel_column:
         df = flt.exclude_value(df, s.sentinel_column, s.sentinel_value)
