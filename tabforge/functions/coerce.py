@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 
 from tabforge.config import TIMESTAMP_FORMATS
 
-# Plain decimal literal with optional sign, fraction, exponent and surrounding
-# whitespace. Rejects what Spark's cast would also take (``1d``, ``1f``) so the
-# result equals the strict numeric parser of the source application.
-_DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+# Plain decimal literals (optional sign, fraction, exponent, surrounding
+# whitespace) are what the source application's numeric parser accepts.
 # Any character outside the decimal alphabet (digits, signs, point, e/E, \s).
 _NOT_DECIMAL_CHAR = r"[^0-9+\-.eE \t\n\x0B\f\r]"
 

@@ -87,7 +87,3 @@ def model_columns(spec: PrepareSpec | None = None) -> Sequence[str]:
     s = spec or PrepareSpec()
     return [*s.numeric, *([s.alpha_desc] if s.alpha_desc else []), s.category]
 
-
-def label_as_text(c, positive=1) -> F.Column:
-    """Numeric 0/1 label → ``yes``/``no`` text (for sources with numeric labels)."""
-    return F.when(F.col(c) == positive, "yes").otherwise("no") if isinstance(c, str) else F.when(c == positive, "yes").otherwise("no")

@@ -14,13 +14,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for lineage cuts, snapshots and models.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set — local tests — a private folder is created and
-    registered, so later calls in the same session reuse it.
+    when neither is set on a ``local`` master (tests) a private folder is
+    created and registered, so later calls in the same session reuse it; on a
+    cluster that is an error, as a machine-local folder is not shared.
     """
     path = spark.conf.get(_CHECKPOINT_KEY, None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared, durable folder (e.g. on HDFS or S3)")
         path = tempfile.mkdtemp(prefix="tabforge-")
         spark.conf.set(_CHECKPOINT_KEY, path)
     if not spark.sparkContext.getCheckpointDir():
