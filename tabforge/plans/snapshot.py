@@ -7,7 +7,9 @@ The wide frame is written first, in one pass over the raw input; each table
 is then a column-pruned read of it. This cuts the lineage (an executor lost
 while writing table 5 re-reads Parquet instead of re-cleaning the raw text),
 keeps all tables on exactly the same rows, and reads each column only for the
-tables that need it. Table writes run as concurrent Spark jobs.
+tables that need it. Each table is coalesced towards ``target_file_bytes``
+per file (no shuffle), so narrow tables do not become many small files. Table
+writes run as concurrent Spark jobs.
 """
 
 from __future__ import annotations
@@ -45,6 +47,7 @@ def write_snapshot(
     column_types: dict[str, str] = COLUMN_TYPES,
     mode: str = "errorifexists",
     max_concurrent: int = 4,
+    target_file_bytes: int = 256 * 1024 * 1024,
 ) -> dict[str, str]:
     """Write every configured table; returns ``{table: path}`` in config order
     plus ``'_dir'`` → the snapshot folder. A configured column missing from
@@ -65,7 +68,8 @@ def write_snapshot(
 
     def write_one(table: str) -> tuple[str, str]:
         path = join_path(folder, table)
-        spark.read.parquet(wide_path).select(*table_schemas[table]).write.mode(mode).parquet(path)
+        part = spark.read.parquet(wide_path).select(*table_schemas[table])
+        sized(part, target_file_bytes).write.mode(mode).parquet(path)
         return table, path
 
     with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
@@ -75,6 +79,29 @@ def write_snapshot(
     return out
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (for a pruned Parquet scan: the files'
+    size scaled to the selected columns); None when unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - an estimate is optional
+        return None
+
+
+def sized(df: DataFrame, target_file_bytes: int) -> DataFrame:
+    """Coalesce (narrow, no shuffle) so output files approach the target size.
+
+    A table holding a few columns of the wide frame would otherwise be written
+    as one small file per input split.
+    """
+    est = estimated_bytes(df)
+    n = df.rdd.getNumPartitions()
+    if est is None or n <= 1:
+        return df
+    want = max(1, -(-est // max(1, target_file_bytes)))
+    return df.coalesce(want) if want < n else df
+
+
 def _field(column, table_schemas, column_types):
     for t, schema in table_schemas.items():
         if column in schema:
