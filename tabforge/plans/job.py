@@ -18,6 +18,7 @@ from tabforge.operators.train import TrainResult, train_select
 from tabforge.plans.clean import CleanSpec, clean
 from tabforge.plans.prepare import PrepareSpec, model_columns, prepare, stages_for
 from tabforge.plans.snapshot import write_snapshot
+from tabforge.sources.files import read_text_table
 
 
 @dataclass
@@ -29,7 +30,7 @@ class JobResult:
 
 def run_job(
     spark: SparkSession,
-    raw: DataFrame,
+    raw: DataFrame | str,
     base: str,
     prefix: str,
     runs_root: str,
@@ -44,8 +45,11 @@ def run_job(
     version: str | None = None,
     parallelism: int = 4,
 ) -> JobResult:
-    """Clean ``raw`` (all-text frame), write the snapshot, prepare the model
-    table, train and select, log the run. Returns paths, run id and results."""
+    """Clean ``raw`` (all-text frame, or a path/glob of text tables), write the
+    snapshot, prepare the model table, train and select, log the run. Returns
+    paths, run id and results."""
+    if isinstance(raw, str):
+        raw = read_text_table(spark, raw)
     cs = clean_spec or CleanSpec(column_types=dict(column_types))
     ps = prepare_spec or PrepareSpec()
     tables = write_snapshot(clean(raw, cs), base, prefix, version, table_schemas, column_types)

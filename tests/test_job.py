@@ -66,3 +66,19 @@ def test_run_job(spark, tmp_path):
     model, feats, target, run_id = load_latest(spark, str(tmp_path / "runs"))
     assert run_id == res.run_id and target == "response"
     assert set(feats) == {"age", "lesion_new", "wb_new", "current_edss", "gender", "ms_type"}
+
+
+def test_cli(spark, tmp_path):
+    from tabforge.__main__ import main
+
+    import json
+
+    raw = raw_records(spark, 200)
+    grid = tmp_path / "grid.json"
+    grid.write_text(json.dumps(SMALL_GRID))
+    src = str(tmp_path / "sheet")
+    raw.coalesce(1).write.option("header", "true").csv(src)
+    out = main(["--input", f"{src}/*.csv", "--prefix", "sheet", "--base", str(tmp_path / "db"),
+                "--runs", str(tmp_path / "runs"), "--tuning", str(grid), "--folds", "2", "--rel-error", "0"])
+    assert out["algorithm"] in ("DecisionTreeClassifier", "RandomForestClassifier", "LogisticRegression", "GBTClassifier")
+    assert out["snapshot"].startswith(str(tmp_path / "db"))
