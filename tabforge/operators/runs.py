@@ -6,7 +6,7 @@ Layout below a root folder (normally in the cluster's shared folder):
 ``run_params``      run_id, param, value
 ``run_metrics``     run_id, metric, value
 ``run_importances`` run_id, feature, importance, rank
-``model_registry``  name, version, run_id, model_path
+``model_registry``  name, registered_at, run_id, model_path (versions derived on read)
 ``models/<run_id>/<artifact>``  the saved ``PipelineModel``
 
 All tables are appended to; they hold a few rows per run.
@@ -20,17 +20,18 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tabforge.config import LABEL_COLUMN, MODEL_ARTIFACT
-from tabforge.operators.aggregates import latest_per_group, next_versions
+from tabforge.operators.aggregates import latest_per_group
 from tabforge.operators.train import TrainResult
 from tabforge.session import join_path
 
 RUNS_SCHEMA = ("run_id string, start_time timestamp_ntz, algorithm string, target string, "
                "features string, artifact string, model_path string")
-REGISTRY_SCHEMA = "name string, version bigint, run_id string, model_path string"
+REGISTRY_SCHEMA = "name string, registered_at timestamp_ntz, run_id string, model_path string"
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
@@ -84,14 +85,28 @@ def log_run(
     return run_id
 
 
-def register_model(spark: SparkSession, root: str, name: str, run_id: str, model_path: str) -> int:
-    """Append ``(name, version, run_id, path)``; version = last version + 1."""
-    registry = read_table(spark, root, "model_registry", REGISTRY_SCHEMA)
-    req = spark.createDataFrame([(name,)], "name string")
-    version = next_versions(req, registry, "name").first()["next_version"]
-    row = spark.createDataFrame([(name, int(version), run_id, model_path)], REGISTRY_SCHEMA)
+def registry(spark: SparkSession, root: str) -> DataFrame:
+    """The model registry with versions: ``(name, version, registered_at,
+    run_id, model_path)``. Version n is the n-th registration of the name (by
+    time, then run id), i.e. the previous maximum + 1 at registration.
+
+    The table itself is append-only — no read-modify-write — so concurrent
+    runs cannot hand out the same version. It holds one row per run, so the
+    window over it is small.
+    """
+    reg = read_table(spark, root, "model_registry", REGISTRY_SCHEMA)
+    order = Window.partitionBy("name").orderBy("registered_at", "run_id")
+    return reg.select("name", F.row_number().over(order).cast("bigint").alias("version"),
+                      "registered_at", "run_id", "model_path")
+
+
+def register_model(spark: SparkSession, root: str, name: str, run_id: str, model_path: str,
+                   registered_at: dt.datetime | None = None) -> int:
+    """Append a registration of ``name``; returns its version."""
+    row = spark.createDataFrame([(name, registered_at or dt.datetime.now(), run_id, model_path)], REGISTRY_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(join_path(root, "model_registry"))
-    return int(version)
+    got = registry(spark, root).filter((F.col("name") == name) & (F.col("run_id") == run_id)).first()
+    return int(got["version"])
 
 
 def latest_run(runs: DataFrame, artifact: str = MODEL_ARTIFACT) -> DataFrame:

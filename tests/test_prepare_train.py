@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators import filters as flt
 from tabforge.operators.metrics import evaluate, weighted_metrics
-from tabforge.operators.runs import load_latest, log_run, read_table, REGISTRY_SCHEMA
+from tabforge.operators.runs import load_latest, log_run, registry
 from tabforge.operators.score import score, score_checked, scoring_input
 from tabforge.operators.train import train_select
 from tabforge.plans.prepare import PrepareSpec, category_report, model_columns, prepare, stages_for
@@ -106,8 +106,8 @@ def test_runs_registry_and_scoring(spark, trained, tmp_path):
     root = str(tmp_path / "runs")
     log_run(spark, root, res, "response", model_columns(spec))
     run2 = log_run(spark, root, res, "response", model_columns(spec))
-    reg = read_table(spark, root, "model_registry", REGISTRY_SCHEMA).orderBy("version").collect()
-    assert [r.version for r in reg] == [1, 2]
+    reg = registry(spark, root).orderBy("version").collect()
+    assert [r.version for r in reg] == [1, 2] and reg[1].run_id == run2
     model, feats, target, run_id = load_latest(spark, root)
     assert run_id == run2 and target == "response" and set(feats) == set(model_columns(spec))
 
