@@ -3,20 +3,16 @@ size and outlier trimming.
 
 All are lazy filters or joins over the input plan; predicates on plain
 columns reach the Parquet reader (``PushedFilters``). The only values brought
-to the driver are the two quartile bounds per trimmed column.
-Everything is a lazy filter or join over the input plan: predicates on plain
-columns reach the Parquet reader (``PushedFilters``), and data-dependent
-thresholds are scalar subqueries evaluated once by Spark — nothing is
-collected to the driver.
+to the driver are the two quartile bounds per trimmed column (and, for exact
+quartiles, at most a few thousand histogram rows per pass).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
