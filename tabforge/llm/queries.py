@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tabforge.llm import exact_dedup, mixing, quality_rules, url_filters
+from tabforge.llm import exact_dedup, mixing, near_dedup, quality_rules, url_filters
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_url_filter": url_filters.op5_url_filter,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
 ORACLE_SQL = {
