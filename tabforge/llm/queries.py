@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tabforge.llm import exact_dedup, mixing, near_dedup, quality_rules, url_filters
+from tabforge.llm import exact_dedup, mixing, near_dedup, packing, quality_rules, url_filters
 
 QUERIES = {
+    "op3_pack_mixture": packing.op3_pack_mixture,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_url_filter": url_filters.op5_url_filter,
     "op7_mix_sources": mixing.op7_mix_sources,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +23,25 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    size = 1 << max(16, (n - 1).bit_length())
-    return _power_table(base, size)
+class _Tables(dict):
+    """Powers by (base, size); a task starts with none."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
 
+_TABLES = _Tables()
 
-@lru_cache(maxsize=4)
-def _power_table(base: int, size: int) -> np.ndarray:
-    p = np.full(size, base, np.uint64)
-    p[0] = 1
-    return np.multiply.accumulate(p)
+
+def _powers(base: int, n: int) -> np.ndarray:
+    size = 1 << max(16, (n - 1).bit_length())
+    if (base, size) not in _TABLES:
+        if len(_TABLES) > 3:
+            _TABLES.clear()
+        p = np.full(size, base, np.uint64)
+        p[0] = 1
+        _TABLES[base, size] = np.multiply.accumulate(p)
+    return _TABLES[base, size]
 
 
 def text_chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
