@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabforge.llm import exact_dedup, mixing, near_dedup, packing, quality_rules, url_filters
+from tabforge.llm import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
     "op3_pack_mixture": packing.op3_pack_mixture,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_url_filter": url_filters.op5_url_filter,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_quality_rules": quality_rules.op8_quality_rules,
+    "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_near_dedup": near_dedup.op10_near_dedup,
 }
 
