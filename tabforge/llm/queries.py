@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tabforge.llm import exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, url_filters
+from tabforge.llm import context_tree, exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
     "op3_pack_mixture": packing.op3_pack_mixture,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_url_filter": url_filters.op5_url_filter,
+    "op6_context_tree": context_tree.op6_context_tree,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
