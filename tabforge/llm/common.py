@@ -54,3 +54,8 @@ def parts_for(df: DataFrame) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = 16 << 20) -> DataFrame:
+    """``df`` (a written table) marked for broadcast if its rows take ``limit`` bytes at most; else joined as Spark plans it."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tabforge.llm import context_tree, exact_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, url_filters
+from tabforge.llm import context_tree, exact_dedup, line_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op3_pack_mixture": packing.op3_pack_mixture,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_url_filter": url_filters.op5_url_filter,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op5_url_filter": url_filters.OP5_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
