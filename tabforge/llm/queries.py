@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tabforge.llm import context_tree, exact_dedup, line_dedup, mixing, near_dedup, packing, quality_classifier, quality_rules, url_filters
+from tabforge.llm import context_tree, exact_dedup, line_dedup, mixing, near_dedup, packing, pii_surrogates, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_pii_surrogates": pii_surrogates.op2_pii_surrogates,
     "op3_pack_mixture": packing.op3_pack_mixture,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_url_filter": url_filters.op5_url_filter,
