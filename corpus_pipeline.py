@@ -22,20 +22,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     training = written(quality_classifier.training_rows(docs, table(spark, sf_dir, "labels")), "quality-training")
     scored = quality_classifier.classify(docs, quality_classifier.fit(training))
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    return scored.where(F.col("predicted") == 1).select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line makes superfluous go; documents that had text and lose all of it go with them."""
-    out = line_dedup.dedup_lines(docs.withColumn("_text", F.col("text")))
-    solid = lambda c: F.coalesce(F.col(c).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return out.where(solid("text") | ~solid("_text")).select(*docs.columns)
+    """Lines that an earlier line makes superfluous go; documents that lose their last line go with them."""
+    out = line_dedup.dedup_lines(docs, emptied=False)
+    return out.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
-    kept = near_dedup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

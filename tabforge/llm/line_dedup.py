@@ -123,27 +123,31 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return exact.unionByName(near)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, counts: bool = False, emptied: bool = True) -> DataFrame:
     """``docs`` without the lines that an earlier line makes superfluous.
 
     A row keeps its other lines as they are, in order; blank lines stay. Null
     text stays null. n_chars, if there, follows a changed text. A null doc_id
     comes after all others. Rows alike in doc_id and text count as one row: they
-    keep and lose the same lines. Rows may end up with an empty text; they stay.
-    ``counts`` adds n_lines, n_exact and n_near. Further columns stay.
+    keep and lose the same lines. Without ``emptied``, rows that had lines with
+    words and lose them all are left out; rows without any stay in either case.
+    ``counts`` adds n_lines, n_exact and n_near. Further columns stay, whatever
+    their names.
     """
     gone = repeated_lines(docs.select("doc_id", "text"), min_words).groupBy("doc", "row").agg(
-        F.collect_set("pos").alias("_gone"), F.sum(F.col("near").cast("long")).alias("_near"), F.count(F.lit(1)).alias("_n"))  # lines of one row
-    gone = broadcast_if_small(written(gone, "lines-gone"), 96).withColumnsRenamed({"doc": "_doc", "row": "_row"})
-    same = (F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("_doc")) & (F.xxhash64(text_of("text")) == F.col("_row"))
-    kept = bind(F.split("text", "\n", -1), lambda x: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_gone")), lambda i: F.get(x, i)), "\n"))
-    out = docs.join(gone, same, "left").withColumn("_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
-    columns = {c: F.col(c) for c in docs.columns} | {"text": F.col("_text")}
+        F.collect_set("pos").alias("gone"), F.sum(F.col("near").cast("long")).alias("near"), F.count(F.lit(1)).alias("n"))  # lines of one row
+    gone = broadcast_if_small(written(gone, "lines-gone"), 96)
+    own = docs.select(F.struct("*").alias("in"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64(text_of("text")).alias("row"))
+    kept = bind(F.split("in.text", "\n", -1), lambda x: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("gone")), lambda i: F.get(x, i)), "\n"))
+    out = own.join(gone, ["doc", "row"], "left").withColumn("text", F.when(F.col("gone").isNull(), F.col("in.text")).otherwise(kept))
+    if not emptied:
+        out = out.where(F.col("gone").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    columns = {c: F.col("in").getField(c) for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in columns:
-        columns["n_chars"] = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
+        columns["n_chars"] = F.when(F.col("gone").isNull(), columns["n_chars"]).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
     if counts:
-        columns |= {"n_lines": F.size(F.split(text_of("text"), "\n", -1)).cast("long"), "n_exact": F.coalesce(F.col("_n") - F.col("_near"), F.lit(0)), "n_near": F.coalesce("_near", F.lit(0))}
+        columns |= {"n_lines": F.size(F.split(text_of("in.text"), "\n", -1)).cast("long"), "n_exact": F.coalesce(F.col("n") - F.col("near"), F.lit(0)), "n_near": F.coalesce("near", F.lit(0))}
     return out.select(*[c.alias(k) for k, c in columns.items()])
 
 

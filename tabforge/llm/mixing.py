@@ -126,7 +126,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
 
 
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
-    """What the mix takes of each row of ``docs`` (doc_id, source, size; further columns stay).
+    """What the mix takes of each row of ``docs`` (doc_id, source, size, and any column ``in``, which stays).
 
     Adds source_size, target, taken (words) and draws: a list of (shard, place,
     words), one for each time the row is drawn; sorting a shard by place shuffles
@@ -187,17 +187,18 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row once for every draw, shuffled within its shard.
 
     A row that gives only part of its words has its text cut after them (words
-    joined by one space), and n_chars, if there, set to what is left.
+    joined by one space), and n_chars, if there, set to what is left. Further
+    columns stay, whatever their names.
     """
-    sized = docs.withColumn("size", F.size(words(text_of("text"))).cast("long"))
-    drawn = mix(sized, **options).withColumn("d", F.explode("draws"))
+    size = F.size(words(text_of("text"))).cast("long")
+    drawn = mix(docs.select("doc_id", "source", size.alias("size"), F.struct("*").alias("in")), **options).withColumn("d", F.explode("draws"))
     cut = F.col("d.words") < F.col("size")
-    text = F.when(cut, F.array_join(F.slice(words(text_of("text")), F.lit(1), F.col("d.words").cast("int")), " ")).otherwise(F.col("text"))
-    drawn = drawn.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        drawn = drawn.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    drawn = drawn.withColumns({"_shard": F.col("d.shard"), "_place": F.col("d.place")})
-    return drawn.repartition("_shard").sortWithinPartitions("_shard", "_place", "doc_id").select(*docs.columns)
+    text = F.when(cut, F.array_join(F.slice(words(text_of("in.text")), F.lit(1), F.col("d.words").cast("int")), " ")).otherwise(F.col("in.text"))
+    drawn = drawn.select("in", "doc_id", "d", text.alias("text"), cut.alias("cut")).repartition("d.shard").sortWithinPartitions("d.shard", "d.place", "doc_id")
+    columns = {c: F.col("in").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return drawn.select(*[c.alias(k) for k, c in columns.items()])
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

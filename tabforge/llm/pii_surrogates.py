@@ -166,19 +166,20 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     whole = replaced.groupBy("doc", "row", "entity", "head").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("p"))  # two words at most
     whole = whole.select("doc", "row", "entity", F.concat("head", F.array_join(F.transform("p", lambda x: x["new"]), " ")).alias("new"))
     maps = whole.groupBy("doc", "row").agg(F.map_from_entries(F.collect_list(F.struct("entity", "new"))).alias("_map"))  # of one text
-    maps = broadcast_if_small(written(maps, "pii-maps"), 400).withColumnsRenamed({"doc": "_doc", "row": "_row"})
-    out = docs.join(maps, (doc == F.col("_doc")) & (row == F.col("_row")), "left")
+    maps = broadcast_if_small(written(maps.withColumnRenamed("_map", "new"), "pii-maps"), 400)
+    out = docs.select(F.struct("*").alias("in"), doc.alias("doc"), row.alias("row")).join(maps, ["doc", "row"], "left")
 
     def rebuilt(parts: Column) -> Column:
         entities, between = parts["entities"], parts["between"]
-        return F.array_join(F.flatten(F.transform(between, lambda x, i: F.array(x, F.coalesce(F.element_at(F.col("_map"), F.get(entities, i)), F.lit(""))))), "")
-
-    parts = F.struct(F.regexp_extract_all("text", F.lit(FOUND), 0).alias("entities"), F.split("text", FOUND, -1).alias("between"))
-    changed = F.col("_map").isNotNull()
-    columns = {c: F.col(c) for c in docs.columns} | {"text": F.when(changed, bind(parts, rebuilt)).otherwise(F.col("text"))}
-    columns["n_entities"] = F.when(changed, F.size(F.regexp_extract_all("text", F.lit(FOUND), 0))).otherwise(0).cast("long")
-    if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(changed, F.length(columns["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        return F.array_join(F.flatten(F.transform(between, lambda x, i: F.array(x, F.coalesce(F.element_at(F.col("new"), F.get(entities, i)), F.lit(""))))), "")
+
+    parts = F.struct(F.regexp_extract_all("in.text", F.lit(FOUND), 0).alias("entities"), F.split("in.text", FOUND, -1).alias("between"))
+    changed = F.col("new").isNotNull()
+    out = out.withColumn("text", F.when(changed, bind(parts, rebuilt)).otherwise(F.col("in.text")))
+    columns = {c: F.col("in").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    columns["n_entities"] = F.when(changed, F.size(F.regexp_extract_all("in.text", F.lit(FOUND), 0))).otherwise(0).cast("long")
     return out.select(*[c.alias(k) for k, c in columns.items()])
 
 

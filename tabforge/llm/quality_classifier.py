@@ -183,27 +183,27 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, seed: str = "quality") -> Mod
 
 
 def classify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from THRESHOLD on), its other columns as they are.
+    """(row, score, predicted) for every row of ``docs``, which travels as the struct ``row`` with all its columns.
 
-    Null text is empty and scored like any other. Without a model every row has
-    score 1: nothing is known against it.
+    Score is 0 to 1, predicted 1 from THRESHOLD on. Null text is empty and
+    scored like any other. Without a model every row has score 1: nothing is
+    known against it.
     """
+    rows = docs.select(F.struct("*").alias("row"))
     if model is None:
-        return docs.withColumns({"score": F.lit(1.0), "predicted": F.lit(1)})
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vars(model))  # two vectors of 2**BITS floats, three numbers
+        return rows.withColumns({"score": F.lit(1.0), "predicted": F.lit(1)})
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # two vectors of 2**BITS floats, three numbers
+    text_at = docs.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.__new__(Model)
         vars(own).update(shared.value)
         for batch in batches:
-            s = own.scores(batch.column(text_at))
-            columns = [*batch.columns, pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([*batch.schema, ("score", pa.float64()), ("predicted", pa.int32())]))
+            s = own.scores(batch.column(0).flatten()[text_at])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32))],
+                                             schema=pa.schema([batch.schema.field(0), ("score", pa.float64()), ("predicted", pa.int32())]))
 
-    text_at = docs.columns.index("text")
-    schema = docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
-    return docs.mapInArrow(score, schema)
+    return rows.mapInArrow(score, rows.select("row", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -220,4 +220,4 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(written(training_rows(docs, table(spark, sf_dir, "labels")), "quality-training"))
     out = classify(docs, model)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return out.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
