@@ -13,12 +13,11 @@ SLOW = {"train_select_best", "feature_importance", "save_load_score", "stream_sc
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["event_type", "rows", "mean_value"]
-    assert df.count() >= 0
+    assert df.count() == 3
 
 
 def test_every_sql_has_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert not [k for k in entry.queries() if k.startswith("op") or "pipeline" in k]
 
 
 @pytest.fixture(scope="module")
