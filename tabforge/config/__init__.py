@@ -21,7 +21,6 @@ from tabforge.config.defaults import (  # noqa: F401
     SENTINEL_VALUE,
     SYMBOLS,
     TABLE_SCHEMAS,
-    TIMESTAMP_FORMATS,
     TUNING,
     WHITELIST,
 )

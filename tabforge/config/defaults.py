@@ -215,16 +215,3 @@ TUNING: dict = {
 CV_FOLDS = 5
 
 # --- End of fixed values ----------------------------------------------------
-
-# Timestamp text formats tried in order (month-first before day-first).
-TIMESTAMP_FORMATS = [
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
-    "yyyyMMdd",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "M.d.yyyy",
-    "d.M.yyyy",
-    "MMM d yyyy",
-    "yyyy",
-]

@@ -6,13 +6,12 @@ All are built-in expressions (``regexp_extract``, ``try_cast``,
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tabforge.config import TIMESTAMP_FORMATS
-
 # Plain decimal literals (optional sign, fraction, exponent, surrounding
 # whitespace) are what the source application's numeric parser accepts.
 # Any character outside the decimal alphabet (digits, signs, point, e/E, \s).
@@ -39,81 +38,73 @@ def safe_double(c: Column | str) -> Column:
     return F.nullif(F.nullif(x, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
+_INTEGER = r"^\s*[+-]?[0-9]+\s*$"
+
+
 def long_from_double(x: Column | str) -> Column:
     """Integral double → bigint; fractional, non-finite, out of range → null."""
     x = _col(x)
     return F.when(F.floor(x) == x, x).try_cast("bigint")
 
 
+def exact_integer(c: Column | str) -> Column:
+    """Text of digits with an optional sign → bigint, all 64 bits exact; any other text → null."""
+    c = _col(c).cast("string")
+    return F.when(c.rlike(_INTEGER), F.btrim(c, F.lit(" \t\n\x0b\f\r"))).try_cast("bigint")
+
+
+def _inexact(c: Column | str) -> Column:
+    """The double of a text that is not plain digits (``2.0``, ``1e3``)."""
+    c = _col(c).cast("string")
+    return safe_double(F.when(~c.rlike(_INTEGER), c))
+
+
 def safe_long(c: Column | str) -> Column:
-    """Text → bigint via double: ``'2.0'``, ``'1e3'``, ``' 7 '``, ``'+4'`` are
-    ids; fractional, non-finite or out-of-range values → null.
+    """Text → bigint: digits exactly; ``'2.0'`` and ``'1e3'`` by way of a
+    double; fractional, non-finite or out-of-range values → null.
 
     Over whole columns prefer :func:`coerce_frame`, which parses once into a
     column and checks integrality in a second projection.
     """
-    return long_from_double(safe_double(c))
-
-
-# Pattern letter runs → the text shape they accept (for a cheap pre-check).
-_SHAPES = {"yyyy": r"\d{4}", "MMM": "[A-Za-z]{3}", "MM": r"\d{2}", "M": r"\d{1,2}", "dd": r"\d{2}",
-           "d": r"\d{1,2}", "HH": r"\d{2}", "mm": r"\d{2}", "ss": r"\d{2}"}
-
-
-def _shape(fmt: str) -> str | None:
-    """Regex of the texts a datetime pattern can parse, or None if unknown."""
-    out, i = "^", 0
-    while i < len(fmt):
-        j = i
-        while j < len(fmt) and fmt[j] == fmt[i]:
-            j += 1
-        run = fmt[i:j]
-        if run in _SHAPES:
-            out += _SHAPES[run]
-        elif fmt[i].isalpha():
-            return None
-        else:
-            out += "".join("\\" + ch if not ch.isalnum() else ch for ch in run)
-        i = j
-    return out + "$"
-
-
-def _cheap_guard(c: Column, fmt: str) -> Column | None:
-    """Length bounds and separator bytes a text of ``fmt`` must have."""
-    lo = hi = 0
-    i = 0
-    while i < len(fmt):
-        j = i
-        while j < len(fmt) and fmt[j] == fmt[i]:
-            j += 1
-        run = fmt[i:j]
-        if run in ("M", "d"):
-            lo, hi = lo + 1, hi + 2
-        elif fmt[i].isalpha() or run in ("MMM",):
-            lo, hi = lo + len(run), hi + len(run)
-        else:
-            lo, hi = lo + len(run), hi + len(run)
-        i = j
-    cond = F.length(c).between(lo, hi)
-    for sep in sorted({ch for ch in fmt if not ch.isalnum()}):
-        cond = cond & c.contains(sep)
-    return cond
-
-
-def safe_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Text → timestamp_ntz, first format that parses wins; none → null.
-
-    Each format is tried only on texts of its length and separators (cheap
-    byte checks) and shape (a short regex), so a cell costs at most one real
-    parse attempt instead of one failed parse per earlier format.
+    return F.coalesce(exact_integer(c), long_from_double(_inexact(c)))
+
+
+_TIME = r"(?:[ T]([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.([0-9]{1,6})[0-9]*)?)?)?"
+_MONTH = r"(Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
+#: Date layouts in the order they are tried, with the groups of year, month and day (None: the first). Numbers
+#: are read month first and, where that gives no date, day first.
+_DATES = [
+    (r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})", 1, 2, 3), (r"([0-9]{4})([0-9]{2})([0-9]{2})", 1, 2, 3),
+    (r"([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-9]{4}|[0-9]{2})", 4, 1, 3), (r"([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-9]{4}|[0-9]{2})", 4, 3, 1),
+    (rf"([0-9]{{1,2}})[ -]{_MONTH}[ -]([0-9]{{4}})", 3, 2, 1), (rf"{_MONTH}[ -]([0-9]{{1,2}}),?[ -]([0-9]{{4}})", 3, 1, 2),
+    (rf"{_MONTH}[ -]([0-9]{{4}})", 2, 1, None), (r"([0-9]{4})", 1, None, None),
+]
+
+
+def safe_timestamp(c: Column | str) -> Column:
+    """Text → timestamp_ntz, the first layout that gives a date; none → null.
+
+    A text's date and time are rearranged into ISO form, which is cast without
+    any time zone, so the result does not depend on the session's. Blanks around
+    the text, one- or two-digit months and days, month names, two-digit years
+    (69 and later: 1900s) and times to the microsecond are read. A bare number
+    is a date only as ``yyyymmdd`` or ``yyyy``.
     """
-    c = _col(c).cast("string")
-    parsed = []
-    for f in formats:
-        shape = _shape(f)
-        p = F.try_to_timestamp(c, F.lit(f))
-        parsed.append(F.when(_cheap_guard(c, f) & c.rlike(shape), p) if shape else p)
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    c = F.btrim(_col(c).cast("string"), F.lit(" \t\n\x0b\f\r"))
+    tries = []
+    for date, year, month, day in _DATES:
+        pattern = f"(?i)^{date}{_TIME}$"
+        groups = re.compile(pattern).groups
+        part = lambda i, p=pattern: F.regexp_extract(c, p, i)
+        y, m = part(year), part(month) if month else F.lit("1")
+        y = F.when(F.length(y) == 2, F.concat(F.when(y >= "69", F.lit("19")).otherwise(F.lit("20")), y)).otherwise(y)
+        if _MONTH in date and month:
+            m = ((F.position(F.lower(F.substring(m, 1, 3)), F.lit("janfebmaraprmayjunjulaugsepoctnovdec")) + 2) / 3).cast("int").cast("string")
+        hour, minute, second, fraction = (part(groups - 3 + i) for i in range(4))
+        zero = lambda x: F.when(x == "", F.lit("0")).otherwise(x)
+        iso = F.concat(F.concat_ws("-", y, m, part(day) if day else F.lit("1")), F.lit(" "), F.concat_ws(":", zero(hour), zero(minute), zero(second)), F.lit("."), zero(fraction))
+        tries.append(F.when(c.rlike(pattern), iso.try_cast("timestamp_ntz")))
+    return F.coalesce(*tries)
 
 
 def safe_boolean(c: Column | str, true_values: Sequence[str] = ("true", "yes", "1")) -> Column:
@@ -165,10 +156,10 @@ def spark_type_of(dtype: str) -> str:
 def coerce_frame(df, column_types: dict[str, str]):
     """Coerce every configured column of ``df`` to its configured type.
 
-    Columns already of the target type are left alone. Integer columns are
-    parsed to double in one projection and narrowed in the next, so the parse
-    runs once per cell (the optimizer keeps a non-cheap column that is used
-    twice in its own projection instead of inlining it).
+    Columns already of the target type are left alone. An integer column's text
+    is read in one projection, its digits exactly and anything else as a double,
+    and joined in the next, so each runs once per cell (the optimizer keeps a
+    non-cheap column that is used twice in its own projection).
     """
     current = dict(df.dtypes)
     todo = {c: d for c, d in column_types.items() if c in current and current[c] != spark_type_of(d)}
@@ -177,9 +168,13 @@ def coerce_frame(df, column_types: dict[str, str]):
     def q(c):
         return F.col(f"`{c}`")
 
-    first = [(safe_double(q(c)) if c in longs else coerce_by_dtype(q(c), todo[c])).alias(c) if c in todo else q(c)
-             for c in df.columns]
-    out = df.select(*first)
+    def read(c):
+        if c in longs:
+            return F.struct(exact_integer(q(c)).alias("exact"), _inexact(q(c)).alias("inexact"))
+        return coerce_by_dtype(q(c), todo[c])
+
+    out = df.select(*[read(c).alias(c) if c in todo else q(c) for c in df.columns])
     if longs:
-        out = out.select(*[long_from_double(q(c)).alias(c) if c in longs else q(c) for c in out.columns])
+        whole = lambda c: F.coalesce(q(c)["exact"], long_from_double(q(c)["inexact"]))
+        out = out.select(*[whole(c).alias(c) if c in longs else q(c) for c in out.columns])
     return out

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.config import IQR_FACTOR, QUANTILE_REL_ERROR
+from tabforge.functions.text import is_missing
 
 
 def group_counts(df: DataFrame, column: str | Sequence[str]) -> DataFrame:
@@ -30,68 +32,72 @@ def _accuracy(rel_error: float) -> int:
     return max(1, int(math.ceil(1.0 / rel_error)))
 
 
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probs: Sequence[float],
-    buckets: int = 4096,
-    collect_limit: int = 100_000,
-    max_passes: int = 200,
-) -> list[float | None]:
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10_000) -> list[float | None]:
     """Exact lower quantiles (``percentile_disc``): for each p the k-th
-    smallest non-null, non-NaN value, k = max(1, ceil(p * n)).
-
-    Distributed selection by histogram refinement. One pass gives n, min, max.
-    Each further pass buckets only the rows inside every unresolved target's
-    current value range into at most ``buckets`` equal-width buckets (count,
-    min, max per bucket; partial + final aggregate, so at most
-    ``buckets × targets`` rows reach the driver) and narrows the range to the
-    bucket holding the target rank. A target is done when its range holds one
-    distinct value, or at most ``collect_limit`` rows, which are then ranked by
-    a bounded ordered take. Typical data needs two or three passes; no pass
-    holds more than a bounded number of values in any task.
+    smallest non-null, non-NaN value, k = max(1, ceil(p * n)); infinities count.
+
+    One algorithm at every size. A pass asks a quantile sketch for the value at
+    the target rank and for those a little before and after it, the next counts
+    exactly how many rows lie below and at these values. Either one of them is
+    the answer, or the target lies strictly between two of them; then the next
+    passes read this open range only (a filter that the Parquet reader gets).
+    A range holds about ``4 / accuracy`` of the rows of the one before, and each
+    drops at least the values just counted, so the search ends on any data. All
+    targets share the passes; a few numbers reach the driver in each.
     """
-    x = df.select(F.col(column).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    n = st["n"]
-    if not n:
+    raw = F.col(column)
+    values = df.select(raw.cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    x = F.col("_x")
+    goals = {i: None for i in range(len(probs))}
+    first = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(x, _around(probs, 0, accuracy), accuracy).alias("q")).first()
+    if not first["n"]:
         return [None for _ in probs]
-    # per target: [rank within range, lo, hi, rows in range, answer]
-    tg = [[max(1, int(math.ceil(float(p) * n))), st["lo"], st["hi"], n, None] for p in probs]
-    for _ in range(max_passes):
-        todo = []
-        for i, t in enumerate(tg):
-            if t[4] is not None:
-                continue
-            if t[1] == t[2]:
-                t[4] = t[1]
-            elif t[3] <= collect_limit:
-                vals = (x.filter(F.col("x").between(F.lit(t[1]), F.lit(t[2])))
-                        .orderBy("x").limit(t[0]).agg(F.max("x").alias("v")).first())
-                t[4] = vals["v"]
-            else:
-                todo.append(i)
-        if not todo:
-            return [t[4] for t in tg]
-        keys = []
-        for i in todo:
-            lo, hi = tg[i][1], tg[i][2]
-            w = hi / buckets - lo / buckets          # no overflow for ranges near the double limit
-            b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(w)), F.lit(buckets - 1)).cast("int")
-            keys.append(F.when(F.col("x").between(F.lit(lo), F.lit(hi)), F.struct(F.lit(i).alias("t"), b.alias("b"))))
-        hist = (x.select("x", F.explode(F.array(*keys)).alias("k")).filter(F.col("k").isNotNull())
-                .select("k.t", "k.b", "x")
-                .groupBy("t", "b").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi")))
-        rows = sorted(hist.collect(), key=lambda r: (r["t"], r["b"]))
-        for i in todo:
-            t = tg[i]
-            seen = 0
-            for r in (r for r in rows if r["t"] == i):
-                if seen + r["c"] >= t[0]:
-                    t[0], t[1], t[2], t[3] = t[0] - seen, r["lo"], r["hi"], r["c"]
+    rank = [max(1, math.ceil(float(p) * first["n"])) for p in probs]
+    bounds: dict[int, tuple[float | None, float | None, int, int]] = {i: (None, None, 0, first["n"]) for i in goals}
+    guesses = {i: sorted(set(first["q"][3 * i : 3 * i + 3])) for i in goals}
+    answers: dict[int, float] = {}
+    while True:
+        # How many rows of each open range lie below and at the guessed values.
+        inside = {i: _between(x, *bounds[i][:2]) for i in guesses}
+        counts = [F.count(F.when(inside[i] & test, 1)) for i, vs in guesses.items() for v in vs for test in (x < F.lit(v), x == F.lit(v))]
+        got = iter(values.filter(_any(inside.values())).agg(*counts).first())
+        for i, vs in guesses.items():
+            low, high, below, rows = bounds[i]
+            for v, less, at in [(v, below + next(got), next(got)) for v in vs]:
+                if less < rank[i] <= less + at:
+                    answers[i] = v
+                elif less + at < rank[i]:
+                    low, rows, below_v = v, rows - (less + at - below), less + at
+                    below = below_v
+                else:
+                    high, rows = v, less - below
                     break
-                seen += r["c"]
-    raise RuntimeError(f"exact_quantiles did not converge in {max_passes} passes")
+            bounds[i] = low, high, below, rows
+        open_ = [i for i in guesses if i not in answers]
+        if not open_:
+            return [answers[i] for i in range(len(probs))]
+        inside = {i: _between(x, *bounds[i][:2]) for i in open_}
+        parts = {i: [(rank[i] - bounds[i][2]) / bounds[i][3]] for i in open_}
+        sketch = [F.percentile_approx(F.when(inside[i], x), _around(parts[i], bounds[i][3], accuracy), accuracy) for i in open_]
+        found = values.filter(_any(inside.values())).agg(*sketch).first()
+        guesses = {i: sorted(set(q)) for i, q in zip(open_, found)}
+
+
+def _around(probs: Sequence[float], rows: int, accuracy: int) -> list[float]:
+    """Each probability with one a little before and one after it, wider than the sketch's error; itself where that is exact."""
+    wide = 2.0 / accuracy if rows == 0 or rows > accuracy else 0.0
+    return [min(1.0, max(0.0, float(p) + d)) for p in probs for d in (-wide, 0.0, wide)]
+
+
+def _between(x: Column, low: float | None, high: float | None) -> Column:
+    inside = F.lit(True)
+    if low is not None:
+        inside = inside & (x > F.lit(low))
+    return inside if high is None else inside & (x < F.lit(high))
+
+
+def _any(tests) -> Column:
+    return reduce(lambda a, b: a | b, tests)
 
 
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], rel_error: float = QUANTILE_REL_ERROR) -> Column:
@@ -99,9 +105,12 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], rel_error: flo
 
     The sketch keeps O(1/rel_error) entries whatever the row count; its rank
     error is at most ``rel_error * rows``, so for ``rel_error`` ≤ 1/rows the
-    result is the exact lower quantile (``percentile_disc``).
+    result is the exact lower quantile (``percentile_disc``). NaN is left out.
     """
-    return F.percentile_approx(F.col(column), [float(p) for p in probs], _accuracy(rel_error))
+    x = F.col(column)
+    if dict(df.dtypes)[column] in ("double", "float"):
+        x = F.when(~F.isnan(x), x)
+    return F.percentile_approx(x, [float(p) for p in probs], _accuracy(rel_error))
 
 
 def quartiles(df: DataFrame, column: str, rel_error: float = QUANTILE_REL_ERROR) -> DataFrame:
@@ -139,19 +148,13 @@ def null_counts(df: DataFrame, table: str | None = None) -> DataFrame:
     exprs = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        miss = c.isNull()
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            miss = miss | F.isnan(c)
+        miss = is_missing(c, isinstance(f.dataType, (T.DoubleType, T.FloatType)))
         exprs.append(F.sum(F.when(miss, 1).otherwise(0)).cast("bigint").alias(f.name))
     wide = df.agg(*exprs)
     long = wide.unpivot([], [F.col(f"`{c}`") for c in wide.columns], "column_name", "nulls")
     return long.select(F.lit(table).cast("string").alias("table_name"), "column_name", "nulls")
 
 
-def _order_struct(order: Sequence[Column], payload: Sequence[str]) -> Column:
-    return F.struct(*order, *[F.col(p).alias(p) for p in payload])
-
-
 def best_per_group(
     df: DataFrame,
     group: Sequence[str],
@@ -159,17 +162,8 @@ def best_per_group(
     tie_break: str,
     payload: Sequence[str] = (),
 ) -> DataFrame:
-    """Per group the row with the highest ``score``; ties → smallest ``tie_break``.
-
-    ``max`` over a struct (score, -tie) is a combinable aggregate, so even a
-    group holding a third of the rows is reduced map-side.
-    """
-    keys = [F.col(score).alias("_s"), (-F.col(tie_break)).alias("_t")]
-    best = F.max(_order_struct(keys, [tie_break, *payload])).alias("_b")
-    out = df.groupBy(*group).agg(best)
-    cols = [F.col(g) for g in group] + [F.col("_b._s").alias(score), F.col(f"_b.{tie_break}").alias(tie_break)]
-    cols += [F.col(f"_b.{p}").alias(p) for p in payload]
-    return out.select(*cols)
+    """Per group the row with the highest ``score``; ties → smallest ``tie_break``."""
+    return _extreme_per_group(df, group, F.max(score), score, F.min(tie_break), tie_break, payload)
 
 
 def latest_per_group(
@@ -183,17 +177,26 @@ def latest_per_group(
     """Per group the most recent row (latest ``time_col``; ties → largest
     ``tie_break``), optionally among rows matching ``where``."""
     src = df.filter(where) if where is not None else df
-    keys = [F.col(time_col).alias("_s"), F.col(tie_break).alias("_t")]
-    last = F.max(_order_struct(keys, payload)).alias("_b")
-    out = src.groupBy(*group).agg(last)
-    cols = [F.col(g) for g in group] + [F.col("_b._s").alias(time_col), F.col("_b._t").alias(tie_break)]
-    cols += [F.col(f"_b.{p}").alias(p) for p in payload]
-    return out.select(*cols)
+    return _extreme_per_group(src, group, F.max(time_col), time_col, F.max(tie_break), tie_break, payload)
+
 
+def _extreme_per_group(df: DataFrame, group: Sequence[str], top: Column, key: str, tie: Column, tie_break: str, payload: Sequence[str]) -> DataFrame:
+    """Per group the extreme of ``key``, then of ``tie_break`` among its rows.
 
-def top_one(df: DataFrame, score: str, order: str) -> DataFrame:
-    """Single best row: highest ``score``; first in ``order`` wins ties."""
-    return df.orderBy(F.col(score).desc(), F.col(order).asc()).limit(1)
+    Both are plain hash aggregates with a map-side step, so a group holding a
+    third of the rows arrives as one row a task; the join between them keeps
+    the rows at the extreme only. Rows equal in both give one row.
+    """
+    best = df.groupBy(*group).agg(top.alias("_top")).withColumnsRenamed({g: f"_g_{g}" for g in group})
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])
+    at_top = df.join(best, same & F.col(key).eqNullSafe(F.col("_top")))
+    if not payload:
+        out = at_top.groupBy(*group, key).agg(tie.alias(tie_break))
+        return out.select(*group, key, tie_break)
+    first = at_top.groupBy(*group).agg(tie.alias("_tie")).withColumnsRenamed({g: f"_f_{g}" for g in group})
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_f_{g}")) for g in group])
+    rows = at_top.join(first, same & F.col(tie_break).eqNullSafe(F.col("_tie")))
+    return rows.select(*group, key, tie_break, *payload).dropDuplicates([*group])
 
 
 def next_versions(requests: DataFrame, registry: DataFrame, name: str, version: str = "version") -> DataFrame:

@@ -4,7 +4,7 @@ size and outlier trimming.
 All are lazy filters or joins over the input plan; predicates on plain
 columns reach the Parquet reader (``PushedFilters``). The only values brought
 to the driver are the two quartile bounds per trimmed column (and, for exact
-quartiles, at most a few thousand histogram rows per pass).
+quartiles, a few counts per pass).
 """
 
 from __future__ import annotations
@@ -132,5 +132,5 @@ def iqr_trim(
         bounds = row["bounds"] if row is not None else None
         lo = bounds["lower"] if bounds is not None else None
         hi = bounds["upper"] if bounds is not None else None
-        out = out.filter(F.col(c).between(F.lit(lo).cast("double"), F.lit(hi).cast("double")))
+        out = in_range(out, c, F.lit(lo).cast("double"), F.lit(hi).cast("double"))
     return out

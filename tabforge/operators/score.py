@@ -8,16 +8,18 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.functions.coerce import safe_double
 from tabforge.functions.mapping import decode_label
+from tabforge.functions.text import is_missing
 
 
 def scoring_input(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
-    """Typed model input: numeric fields via ``try_cast`` to double, text kept.
+    """Typed model input: numeric fields by :func:`safe_double`, text kept.
 
     A field that does not parse becomes null and is named in ``input_error``
     (null when the row is clean), so one bad request never fails a batch.
     """
-    casts = {c: F.col(c).try_cast("double") for c in numeric}
+    casts = {c: safe_double(c) for c in numeric}
     bad = [F.when(F.col(c).isNotNull() & casts[c].isNull(), F.lit(c)) for c in numeric]
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in [*numeric, *text]]
     err = F.concat_ws(",", *bad, *missing)
@@ -67,8 +69,8 @@ def score_checked(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (),
     """Score every row in one pass, never failing on bad input.
 
     A row is flagged in ``input_error`` (comma-separated column names) when a
-    model input is null or unparsable (from :func:`scoring_input`) or holds a
-    category its indexer has not seen. Flagged rows get placeholder inputs so
+    model input is null, unparsable (from :func:`scoring_input`), NaN or infinite,
+    or holds a category its indexer has not seen. Flagged rows get placeholder inputs so
     no stage can fail, and a null ``output``; clean rows are scored. One scan,
     one narrow transform, row count kept — usable on a stream as well.
     """
@@ -76,7 +78,10 @@ def score_checked(model: PipelineModel, df: DataFrame, keep: Sequence[str] = (),
     unknown = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(labels), F.lit(c)) for c, labels in cats.items()]
     prior = [F.col("input_error")] if "input_error" in df.columns else []
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in [*numeric, *cats] if "input_error" not in df.columns]
-    err = F.concat_ws(",", *prior, *missing, *unknown)
+    # Typed input may hold numbers that no stage takes.
+    types = dict(df.dtypes)
+    odd = [F.when(F.col(c).isNotNull() & (is_missing(c, True) | (F.abs(c) == float("inf"))), F.lit(c)) for c in numeric if types[c] in ("double", "float")]
+    err = F.concat_ws(",", *prior, *missing, *odd, *unknown)
     flagged = df.withColumn("input_error", F.when(err != "", err))
     ok = F.col("input_error").isNull()
     safe = {c: F.when(ok, F.col(c)).otherwise(F.lit(0.0)) for c in numeric}

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tabforge.operators.columns import drop_unnamed, normalize_headers
 from tabforge.plans.clean import CleanSpec
+from tabforge.plans.oracle import DATE_LAYOUTS
 from tabforge.plans.prepare import PrepareSpec
 from tabforge.sources.files import read_parquet
 from tabforge.functions.text import na_to_null
@@ -95,7 +96,7 @@ def dirty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
     null = F.lit(None).cast("string")
     cols = {
-        "ID Raw": _when_chain([(k % 50 == 0, F.concat(F.lit("x"), key)),
+        "ID Raw": _when_chain([(k % 67 == 0, (k + F.lit(9007199254740993)).cast("string")), (k % 50 == 0, F.concat(F.lit("x"), key)),
                                (k % 31 == 0, F.concat(key, F.lit(".0"))),
                                (k % 37 == 0, F.concat(key, F.lit(".5"))),
                                (k % 41 == 0, F.concat(F.lit(" "), key, F.lit(" ")))], key),
@@ -107,6 +108,7 @@ def dirty_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     (k % 10 == 0, F.concat(cents.substr(F.lit(1), F.lit(1)), F.lit(";"), cents.substr(F.lit(2), F.length(cents))))],
                                    cents),
         "Date.raw": _when_chain([(k % 23 == 0, "n.d."), (k % 47 == 0, ""),
+                                 *[((k % 6 == 1) & (F.floor(k / 6) % 13 == i), F.date_format("o_orderdate", f)) for i, (f, _) in enumerate(DATE_LAYOUTS)],
                                  (k % 3 == 0, F.date_format("o_orderdate", "MM/dd/yyyy"))],
                                 F.date_format("o_orderdate", "yyyy-MM-dd")),
         "Flag Raw!": _when_chain([(k % 3 == 0, "R"), (k % 3 == 1, "NR")], F.lit("r")),

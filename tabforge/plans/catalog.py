@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-EXACT = 0.0    # exact quartiles (histogram refinement), equal to percentile_disc
+EXACT = 0.0    # exact quartiles, equal to percentile_disc
 
 
 def register(name: str, sql: str | None = None):

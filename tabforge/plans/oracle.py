@@ -8,8 +8,13 @@ from __future__ import annotations
 from tabforge.config import NA_TOKENS
 
 _DECIMAL = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
-_TS_FORMATS = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y%m%d", "%m/%d/%Y", "%d/%m/%Y",
-               "%m.%d.%Y", "%d.%m.%Y", "%b %d %Y", "%Y"]
+_TS_FORMATS = ["%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d", "%Y/%m/%d",
+               "%Y%m%d", "%m/%d/%Y %H:%M", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y", "%m.%d.%Y", "%d.%m.%Y", "%m/%d/%y",
+               "%d %b %Y", "%d-%b-%Y", "%b %d %Y", "%B %d %Y", "%b-%Y", "%Y"]
+# Layouts of the dirty view's dates besides the two main ones: (Spark pattern, DuckDB pattern).
+DATE_LAYOUTS = [("yyyy-MM-dd '10:11'", "%Y-%m-%d 10:11"), ("yyyy-MM-dd'T10:11:12'", "%Y-%m-%dT10:11:12"), ("yyyy-MM-dd '10:11:12.5'", "%Y-%m-%d 10:11:12.5"),
+                ("yyyy/MM/dd", "%Y/%m/%d"), ("yyyy-M-d", "%Y-%-m-%-d"), ("MM-dd-yyyy", "%m-%d-%Y"), ("d MMM yyyy", "%-d %b %Y"), ("d-MMM-yyyy", "%-d-%b-%Y"),
+                ("MMMM d yyyy", "%B %-d %Y"), ("MMM-yyyy", "%b-%Y"), ("M/d/yyyy '10:00'", "%-m/%-d/%Y 10:00"), ("MM/dd/yy", "%m/%d/%y"), ("' 'yyyy-MM-dd' '", " %Y-%m-%d ")]
 
 
 def q(s: str) -> str:
@@ -27,11 +32,14 @@ def dbl(x: str) -> str:
 
 def lng(x: str) -> str:
     d = dbl(x)
-    return f"(CASE WHEN {d} = floor({d}) AND abs({d}) < 9.223372036854775e18 THEN CAST({d} AS BIGINT) END)"
+    return f"(CASE WHEN regexp_full_match({x}, '\\s*[+-]?[0-9]+\\s*') THEN TRY_CAST(trim({x}, ' \t\n') AS BIGINT) WHEN {d} = floor({d}) AND abs({d}) < 9.223372036854775e18 THEN CAST({d} AS BIGINT) END)"
 
 
 def ts(x: str) -> str:
-    return "coalesce(" + ", ".join(f"try_strptime({x}, {q(f)})" for f in _TS_FORMATS) + ")"
+    # DuckDB's %Y also takes two digits, so formats with it are for texts with a four-digit run only.
+    full = ", ".join(f"try_strptime(trim({x}), {q(f)})" for f in _TS_FORMATS if "%Y" in f)
+    short = ", ".join(f"try_strptime(trim({x}), {q(f)})" for f in _TS_FORMATS if "%y" in f)
+    return f"(CASE WHEN regexp_matches({x}, '[0-9]{{4}}') THEN coalesce({full}) ELSE coalesce({short}) END)"
 
 
 def boolean(x: str) -> str:
@@ -64,7 +72,7 @@ def dirty_cte() -> str:
     key = f"CAST({k} AS VARCHAR)"
     cents = "CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR)"
     cols = {
-        "id_raw": when_chain([(f"{k} % 50 = 0", f"'x' || {key}"), (f"{k} % 31 = 0", f"{key} || '.0'"),
+        "id_raw": when_chain([(f"{k} % 67 = 0", f"CAST(9007199254740993 + {k} AS VARCHAR)"), (f"{k} % 50 = 0", f"'x' || {key}"), (f"{k} % 31 = 0", f"{key} || '.0'"),
                               (f"{k} % 37 = 0", f"{key} || '.5'"), (f"{k} % 41 = 0", f"' ' || {key} || ' '")], key),
         "status_raw": when_chain([(f"{k} % 11 = 0", "'?'"), (f"{k} % 13 = 0", "' '"), (f"{k} % 17 = 0", "NULL"),
                                   (f"{k} % 61 = 0", "chr(9)")], "o_orderstatus"),
@@ -73,6 +81,7 @@ def dirty_cte() -> str:
                                   (f"{k} % 10 = 5", f"substr({cents}, 1, 1) || ',' || substr({cents}, 2)"),
                                   (f"{k} % 10 = 0", f"substr({cents}, 1, 1) || ';' || substr({cents}, 2)")], cents),
         "date_raw": when_chain([(f"{k} % 23 = 0", "'n.d.'"), (f"{k} % 47 = 0", "''"),
+                                *[(f"{k} % 6 = 1 AND ({k} // 6) % 13 = {i}", f"strftime(o_orderdate, {q(f)})") for i, (_, f) in enumerate(DATE_LAYOUTS)],
                                 (f"{k} % 3 = 0", "strftime(o_orderdate, '%m/%d/%Y')")],
                                "strftime(o_orderdate, '%Y-%m-%d')"),
         "flag_raw": when_chain([(f"{k} % 3 = 0", "'R'"), (f"{k} % 3 = 1", "'NR'")], "'r'"),

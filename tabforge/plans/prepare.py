@@ -26,7 +26,7 @@ from tabforge.functions.mapping import encode_label
 from tabforge.operators import filters as flt
 from tabforge.operators.aggregates import group_counts
 from tabforge.operators.features import feature_stages
-from tabforge.session import shared_dir
+from tabforge.session import scratch_path
 
 
 @dataclass
@@ -44,9 +44,10 @@ class PrepareSpec:
     numeric: list[str] = field(default_factory=lambda: list(NUMERIC_FEATURES))
     alpha_desc: str | None = ALPHA_DESC_COLUMN
     handle_invalid: str = "error"
-    # How the filtered frame is kept for the trimming passes: 'checkpoint'
-    # (reliable, in spark.checkpoint.dir), 'persist' (memory and disk) or None.
-    materialize: str | None = "checkpoint"
+    # How the filtered frame is kept for the trimming passes: 'table' (Parquet in
+    # the shared folder: each pass reads one column, within its bounds), 'persist'
+    # (memory and disk) or None.
+    materialize: str | None = "table"
 
 
 def prepare(df: DataFrame, spec: PrepareSpec | None = None) -> DataFrame:
@@ -61,9 +62,10 @@ def prepare(df: DataFrame, spec: PrepareSpec | None = None) -> DataFrame:
         out = flt.allowed_values(out, s.category, s.allowed)
         bound = len(s.allowed)
     out = flt.min_group_size(out, s.category, s.min_count, max_groups=bound)
-    if s.outlier_columns and s.materialize == "checkpoint":
-        shared_dir(out.sparkSession)
-        out = out.checkpoint(eager=True)
+    if s.outlier_columns and s.materialize == "table":
+        path = scratch_path(out.sparkSession, "prepared")
+        out.write.parquet(path)
+        out = out.sparkSession.read.schema(out.schema).parquet(path)
     elif s.outlier_columns and s.materialize == "persist":
         out = out.persist(StorageLevel.MEMORY_AND_DISK)
     out = flt.iqr_trim(out, s.outlier_columns, s.iqr_factor, s.rel_error)

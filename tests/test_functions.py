@@ -56,6 +56,31 @@ def test_safe_timestamp(spark):
         d(2020, 1, 5, 10, 11, 12), d(2020, 1, 5), None]
 
 
+def test_safe_long_is_exact_beyond_doubles(spark):
+    vals = ["9007199254740993", "9007199254740992", "-9223372036854775808", "9223372036854775807", "9223372036854775808", " +123456789012345678 ", "007"]
+    assert apply(spark, vals, fn.safe_long) == [9007199254740993, 9007199254740992, -2**63, 2**63 - 1, None, 123456789012345678, 7]
+
+
+DAY = dt.datetime(2020, 1, 5)
+LAYOUTS = {
+    "2020-01-05 10:11": DAY.replace(hour=10, minute=11), "2020-01-05T10:11:12": DAY.replace(hour=10, minute=11, second=12),
+    "2020-01-05 10:11:12.5": DAY.replace(hour=10, minute=11, second=12, microsecond=500_000), "2020/01/05": DAY, "2020-1-5": DAY,
+    "05-01-2020": dt.datetime(2020, 5, 1), "5 Jan 2020": DAY, "5-Jan-2020": DAY, "January 5 2020": DAY, "Jan-2020": dt.datetime(2020, 1, 1),
+    "1/5/2020 10:00": DAY.replace(hour=10), "01/05/20": DAY, "01/05/99": dt.datetime(1999, 1, 5), "  2020-01-05\t": DAY, "sept 5, 2020": dt.datetime(2020, 9, 5),
+    "2018-11-04": dt.datetime(2018, 11, 4), "2020-03-29 02:30:00": dt.datetime(2020, 3, 29, 2, 30), "1/5.2020": None, "2020-02-30": None, "25:00": None, "Janx 5 2020": None,
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Europe/Berlin"])
+def test_timestamps_in_every_layout_and_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert apply(spark, list(LAYOUTS), fn.safe_timestamp) == list(LAYOUTS.values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_safe_boolean_and_string(spark):
     assert apply(spark, ["TRUE", "yes", "1", "R", "no", None], fn.safe_boolean) == [True, True, True, False, False, None]
     assert apply(spark, [1, None], fn.safe_string, "int") == ["1", None]
