@@ -67,24 +67,36 @@ def estimate(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.n
     The share of agreeing buckets among those that either set uses, less what
     agrees by chance.
     """
-    equal = np.zeros((len(a), len(b)), np.float32)
-    empty = np.zeros((len(a), len(b)), np.float32)
-    for k in range(BUCKETS):
-        same = a[:, k, None] == b[None, :, k]
-        equal += same
-        empty += same & (a[:, k, None] == 0)
-    used = np.maximum(BUCKETS - empty, 1)
-    chance = collision_rate(n[:, None].astype(float), m[None, :].astype(float))
-    share = (equal - empty) / used
+    if len(a) * len(b) <= 4096:
+        same = a[:, None, :] == b[None, :, :]
+        equal, empty = same.sum(2), (same & (a[:, None, :] == 0)).sum(2)
+    else:
+        equal = np.zeros((len(a), len(b)), np.float32)
+        empty = np.zeros((len(a), len(b)), np.float32)
+        for k in range(BUCKETS):
+            same = a[:, k, None] == b[None, :, k]
+            equal += same
+            empty += same & (a[:, k, None] == 0)
+    return corrected(equal, empty, n[:, None], m[None, :])
+
+
+def corrected(equal: np.ndarray, empty: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The estimate from the counts of agreeing buckets and of those that both sets leave empty."""
+    chance = collision_rate(n.astype(float), m.astype(float))
+    share = (equal - empty) / np.maximum(BUCKETS - empty, 1)
     return (share - chance) / (1 - chance)
 
 
+def near_enough(estimated: np.ndarray, n: np.ndarray, m: np.ndarray, used: np.ndarray, similarity: float) -> np.ndarray:
+    """What the estimate leaves open: five standard errors for the buckets in use, and sizes that allow the similarity."""
+    margin = 5 * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
+    return (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9) & (estimated >= similarity - margin)
+
+
 def may_link(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
-    """Pairs that the estimate leaves open. Few used buckets make it coarse, so its margin is for the buckets in use."""
+    """The open pairs of every row of registers ``a`` with every row of ``b``."""
     used = np.minimum((a > 0).sum(1)[:, None], (b > 0).sum(1)[None, :])
-    margin = 5 * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
-    sizes = np.minimum(n[:, None], m[None, :]) >= similarity * np.maximum(n[:, None], m[None, :]) - 1e-9
-    return sizes & (estimate(a, n, b, m) >= similarity - margin)
+    return near_enough(estimate(a, n, b, m), n[:, None], m[None, :], used, similarity)
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -174,9 +186,11 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[row]), pa.array(n[row])], names=["band", "id", "n"])
 
     banded = written(sets.mapInArrow(cut, "band long, id long, n long"), "near-bands")
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("lo"), F.max("id").alias("hi")).where("members > 1")
-    # Pairs found by many bands are looked at once; larger groups go on by band.
-    pairs = shared.where("members = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).distinct()
+    of_group = [F.count(F.lit(1)).alias("members"), F.min("id").alias("lo"), F.max("id").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("who")]
+    shared = banded.groupBy("band").agg(*of_group).where("members > 1")
+    # Groups that many bands find alike are looked at once.
+    shared = written(shared.groupBy("members", "lo", "hi", "who").agg(F.min("band").alias("band")), "near-groups")
+    pairs = shared.where("members = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     large = banded.join(shared.where("members > 2").select("band"), "band").select("band", "id")
     full = sets.select("id", "n", "registers")
     tasks = in_blocks(large.join(full, "id"), "band", "id", BLOCK)
@@ -202,8 +216,8 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
         for x in batches:
             a, b = (np.frombuffer(b"".join(x[k]), "<u2").reshape(-1, BUCKETS) for k in ("ra", "rb"))
             n, m = x["na"].to_numpy(), x["nb"].to_numpy()
-            ok = [bool(may_link(a[i : i + 1], n[i : i + 1], b[i : i + 1], m[i : i + 1], similarity)[0, 0]) for i in range(len(x))]
-            yield x.loc[ok, ["a", "b"]]
+            guess = corrected((a == b).sum(1), ((a == b) & (a == 0)).sum(1), n, m)
+            yield x.loc[near_enough(guess, n, m, np.minimum((a > 0).sum(1), (b > 0).sum(1)), similarity), ["a", "b"]]
 
     ra, rb = (full.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("registers").alias(f"r{k}")) for k in "ab")
     two = pairs.join(ra, "a").join(rb, "b").select("a", "b", "na", "nb", "ra", "rb").mapInPandas(pairwise, "a long, b long")
