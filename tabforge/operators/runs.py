@@ -6,10 +6,11 @@ Layout below a root folder (normally in the cluster's shared folder):
 ``run_params``      run_id, param, value
 ``run_metrics``     run_id, metric, value
 ``run_importances`` run_id, feature, importance, rank
-``model_registry``  name, registered_at, run_id, model_path (versions derived on read)
+``model_registry``  name, version, registered_at, run_id, model_path
+``model_versions/name=<name>/<n>``  one empty file for every version that was claimed
 ``models/<run_id>/<artifact>``  the saved ``PipelineModel``
 
-All tables are appended to; they hold a few rows per run.
+A run's rows are a folder ``entry=<id>`` of each table; tables hold a few rows per run.
 """
 
 from __future__ import annotations
@@ -20,28 +21,41 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tabforge.config import LABEL_COLUMN, MODEL_ARTIFACT
-from tabforge.operators.aggregates import latest_per_group
+from tabforge.operators.aggregates import latest_per_group, next_versions
 from tabforge.operators.train import TrainResult
 from tabforge.session import join_path
 
 RUNS_SCHEMA = ("run_id string, start_time timestamp_ntz, algorithm string, target string, "
                "features string, artifact string, model_path string")
-REGISTRY_SCHEMA = "name string, registered_at timestamp_ntz, run_id string, model_path string"
+REGISTRY_SCHEMA = "name string, version bigint, registered_at timestamp_ntz, run_id string, model_path string"
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """A run table, or an empty frame of ``schema`` before the first run."""
+    """A run table, or an empty frame of ``schema`` before the first run.
+
+    Only a missing folder counts as no run; one that can't be read is an error.
+    """
     try:
-        return spark.read.parquet(join_path(root, name))
-    except AnalysisException:
+        return spark.read.schema(schema).parquet(join_path(root, name)).select(*[c.split()[0] for c in schema.split(", ")])
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
+def _append(df: DataFrame, root: str, name: str, entry: str) -> None:
+    """Rows of one run as a folder of its own, so that runs may write at the same time."""
+    df.coalesce(1).write.parquet(join_path(root, name, f"entry={entry}"))
+
+
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
@@ -61,9 +75,10 @@ def log_run(
     start_time: dt.datetime | None = None,
 ) -> str:
     """Save the best model and append its run, parameter, metric, importance
-    and registry rows. Returns the run id."""
+    and registry rows. Returns the run id. ``start_time`` (UTC) is when the run
+    began, before its training; the latest run is the one that began last."""
     run_id = uuid.uuid4().hex
-    start = start_time or dt.datetime.now()
+    start = start_time or utc_now()
     model_path = save_model(result.best_model, join_path(root, "models", run_id, artifact))
     run = spark.createDataFrame(
         [(run_id, start, result.best_name, target, ",".join(features), artifact, model_path)], RUNS_SCHEMA)
@@ -78,35 +93,42 @@ def log_run(
         "run_importances": spark.createDataFrame(imps, "run_id string, feature string, importance double, rank int"),
     }
     for name, df in tables.items():
-        df.coalesce(1).write.mode("append").parquet(join_path(root, name))
+        _append(df, root, name, run_id)
     register_model(spark, root, f"{artifact}_{result.best_name}", run_id, model_path)
     # The run row goes last: a run is visible only once everything it names exists.
-    run.coalesce(1).write.mode("append").parquet(join_path(root, "runs"))
+    _append(run, root, "runs", run_id)
     return run_id
 
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
-    """The model registry with versions: ``(name, version, registered_at,
-    run_id, model_path)``. Version n is the n-th registration of the name (by
-    time, then run id), i.e. the previous maximum + 1 at registration.
+    """The model registry: ``(name, version, registered_at, run_id, model_path)``."""
+    return read_table(spark, root, "model_registry", REGISTRY_SCHEMA).select("name", "version", "registered_at", "run_id", "model_path")
 
-    The table itself is append-only — no read-modify-write — so concurrent
-    runs cannot hand out the same version. It holds one row per run, so the
-    window over it is small.
-    """
-    reg = read_table(spark, root, "model_registry", REGISTRY_SCHEMA)
-    order = Window.partitionBy("name").orderBy("registered_at", "run_id")
-    return reg.select("name", F.row_number().over(order).cast("bigint").alias("version"),
-                      "registered_at", "run_id", "model_path")
+
+def _claim(spark: SparkSession, root: str, name: str, version: int) -> bool:
+    """Create the file of one version unless it exists: of several callers one succeeds."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(join_path(root, "model_versions", f"name={name}", str(version)))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    return files.createNewFile(path)
 
 
 def register_model(spark: SparkSession, root: str, name: str, run_id: str, model_path: str,
                    registered_at: dt.datetime | None = None) -> int:
-    """Append a registration of ``name``; returns its version."""
-    row = spark.createDataFrame([(name, registered_at or dt.datetime.now(), run_id, model_path)], REGISTRY_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(join_path(root, "model_registry"))
-    got = registry(spark, root).filter((F.col("name") == name) & (F.col("run_id") == run_id)).first()
-    return int(got["version"])
+    """Append a registration of ``name``; returns its version.
+
+    The version is the highest registered one plus one, or the next that nobody
+    has claimed meanwhile; once claimed it never changes, whatever its time
+    stamp and whoever registers at the same moment.
+    """
+    wanted = spark.createDataFrame([(name,)], "name string")
+    version = int(next_versions(wanted, registry(spark, root), "name").first()["next_version"])
+    while not _claim(spark, root, name, version):
+        version += 1
+    row = spark.createDataFrame([(name, version, registered_at or utc_now(), run_id, model_path)], REGISTRY_SCHEMA)
+    _append(row, root, "model_registry", uuid.uuid4().hex)
+    return version
 
 
 def latest_run(runs: DataFrame, artifact: str = MODEL_ARTIFACT) -> DataFrame:

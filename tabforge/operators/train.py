@@ -18,7 +18,8 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,9 @@ from tabforge.config.defaults import CV_FOLDS
 from tabforge.operators.features import slot_names
 from tabforge.operators.metrics import f1_evaluator, weighted_metrics
 
+#: Names a row's fold while the models are fitted.
+FOLD = "_fold"
+
 ESTIMATORS = {
     "DecisionTreeClassifier": DecisionTreeClassifier,
     "RandomForestClassifier": RandomForestClassifier,
@@ -74,10 +78,6 @@ class TrainResult:
         rows = [(n, float(v), i + 1) for i, (n, v) in enumerate(self.importances or [])]
         return spark.createDataFrame(rows, "feature string, importance double, rank int")
 
-    def params_frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(k, str(v)) for k, v in sorted(self.params.items())]
-        return spark.createDataFrame(rows, "param string, value string")
-
 
 def feature_importances(model: PipelineModel, transformed: DataFrame, features_col: str = "features"):
     """(slot name, importance) sorted by falling importance, name on ties; None
@@ -91,6 +91,17 @@ def feature_importances(model: PipelineModel, transformed: DataFrame, features_c
     return sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
+def _for_fold(stages: list) -> list:
+    """The feature stages as a fold fits them: rows with a category that its training part lacks are left out of its score."""
+    out = []
+    for stage in stages:
+        stage = stage.copy()
+        if isinstance(stage, StringIndexer) and stage.getHandleInvalid() == "error":
+            stage = stage.setHandleInvalid("skip")
+        out.append(stage)
+    return out
+
+
 def train_select(
     df: DataFrame,
     stages: list,
@@ -101,79 +112,66 @@ def train_select(
     seed: int = 42,
     parallelism: int = 4,
     select_by: str = "in_sample",
-    per_fold_features: bool = False,
-    model_parallelism: int = 4,
 ) -> TrainResult:
     """Cross-validated grid search per classifier, then the best classifier.
 
-    By default the feature stages (indexers, one-hot, assembler, scaler) are
-    fitted once on all rows and the featurised frame is persisted; only the
-    estimator is refit per fold and grid point. That removes three fit passes
-    per fold and makes every category known to every fold (a category missing
-    from one fold cannot fail a fit). Tree and linear models see the same
-    slots either way; ``per_fold_features=True`` refits the whole pipeline per
-    fold instead. Up to ``model_parallelism`` classifiers are cross-validated
-    at once, each running ``parallelism`` fits concurrently (Spark schedules
-    the jobs side by side; small fits no longer wait for each other).
+    The whole pipeline is fitted anew in every fold, on the fold's training part
+    only. The feature stages do not depend on the grid, so a fold fits them once
+    and all classifiers and grid points share its features; the models are those
+    that a pipeline refitted for each grid point gives. A row's fold is a hash of
+    its values, so all classifiers see the same folds however the rows are
+    partitioned. ``parallelism`` fits run at once.
 
     The best grid point is refit on all rows and scored on them (in-sample
     weighted F1, precision, recall, as the source does); ``select_by='cv'``
     ranks by the mean cross-validated F1 instead. Highest score wins, the
     earlier classifier on ties.
     """
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    feature_model = None
-    if per_fold_features:
-        data = base
-    else:
-        feature_model = Pipeline(stages=list(stages)).fit(base)
-        data = feature_model.transform(base).persist(StorageLevel.MEMORY_AND_DISK)
-    def run_one(order: int, name: str) -> dict:
-        est = make_estimator(name, features_col, label_col, seed)
-        cv = CrossValidator(
-            estimator=Pipeline(stages=[*stages, est]) if per_fold_features else est,
-            estimatorParamMaps=param_grid(est, tuning),
-            evaluator=f1_evaluator(label_col),
-            numFolds=folds,
-            seed=seed,
-            parallelism=parallelism,
-        )
-        cv_model = cv.fit(data)
-        fitted = cv_model.bestModel
-        model = fitted if per_fold_features else PipelineModel(stages=[*feature_model.stages, fitted])
-        scored = fitted.transform(data)
-        m = weighted_metrics(scored, label_col).first()
-        return {"order": order, "algorithm": name, "f1": m["f1"], "weighted_precision": m["weighted_precision"],
-                "weighted_recall": m["weighted_recall"], "cv_f1": float(max(cv_model.avgMetrics)),
-                "_model": model, "_scored": scored}
-
     names = list(tuning["classification_models"])
+    if not names:
+        raise ValueError("no classifier configured")
+    fold = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(folds))
+    data = df.withColumn(FOLD, fold).persist(StorageLevel.MEMORY_AND_DISK)
+    estimators = {n: make_estimator(n, features_col, label_col, seed) for n in names}
+    points = [(n, i, p) for n in names for i, p in enumerate(param_grid(estimators[n], tuning))]
+    scores: dict[tuple[str, int], list[float]] = {(n, i): [] for n, i, _ in points}
+    evaluator = f1_evaluator(label_col)
     try:
-        with ThreadPoolExecutor(max_workers=max(1, min(model_parallelism, len(names)))) as pool:
-            runs = list(pool.map(lambda a: run_one(*a), enumerate(names)))
-        best = None
-        for r in runs:   # config order: strict '>' keeps the earlier one on ties
-            score = r["cv_f1"] if select_by == "cv" else r["f1"]
-            if best is None or score > best[0]:
-                best = (score, r)
-        results = [{k: v for k, v in r.items() if not k.startswith("_")} for r in runs]
-        if best is not None:
-            r = best[1]
-            model = r["_model"]
-            params = {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
-            metrics = {"f1": r["f1"], "precision": r["weighted_precision"], "recall": r["weighted_recall"]}
-            best = (best[0], r["algorithm"], model, metrics, params,
-                    feature_importances(model, r["_scored"], features_col))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            for k in range(folds):
+                features = Pipeline(stages=_for_fold(stages)).fit(data.where(F.col(FOLD) != k))
+                train, valid = (features.transform(data.where(side)).select(features_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
+                                for side in (F.col(FOLD) != k, F.col(FOLD) == k))
+
+                def fit_one(point, train=train, valid=valid):
+                    return evaluator.evaluate(estimators[point[0]].fit(train, point[2]).transform(valid))
+
+                if not valid.isEmpty():
+                    for (n, i, _), f1 in zip(points, pool.map(fit_one, points)):
+                        scores[n, i].append(f1)
+                train.unpersist()
+                valid.unpersist()
+
+            features = Pipeline(stages=list(stages)).fit(data)
+            whole = features.transform(data).persist(StorageLevel.MEMORY_AND_DISK)
+
+            def refit(a: tuple[int, str]) -> dict:
+                order, name = a
+                own = [(sum(scores[n, i]) / max(1, len(scores[n, i])), -i, p) for n, i, p in points if n == name]
+                cv_f1, _, best = max(own, key=lambda x: x[:2])  # the earlier grid point on ties
+                fitted = estimators[name].fit(whole, best)
+                m = weighted_metrics(fitted.transform(whole), label_col).first()
+                return {"order": order, "algorithm": name, "f1": m["f1"], "weighted_precision": m["weighted_precision"],
+                        "weighted_recall": m["weighted_recall"], "cv_f1": float(cv_f1), "_model": PipelineModel(stages=[*features.stages, fitted])}
+
+            runs = list(pool.map(refit, enumerate(names)))
+        best = max(runs, key=lambda r: (r["cv_f1"] if select_by == "cv" else r["f1"], -r["order"]))
+        importances = feature_importances(best["_model"], whole, features_col)
+        whole.unpersist()
     finally:
-        if data is not base:
-            data.unpersist()
-        base.unpersist()
-    if best is None:
-        raise ValueError("no classifier configured")
-    _, name, model, metrics, params, imps = best
-    return TrainResult(name, model, metrics, params, imps, results)
-
-
-def selected(results: DataFrame, score: str = "f1") -> DataFrame:
-    """The best row of a results frame: highest score, first on ties."""
-    return results.orderBy(F.col(score).desc(), F.col("order").asc()).limit(1)
+        data.unpersist()
+    model = best["_model"]
+    params = {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
+    metrics = {"f1": best["f1"], "precision": best["weighted_precision"], "recall": best["weighted_recall"]}
+    results = [{k: v for k, v in r.items() if not k.startswith("_")} for r in runs]
+    return TrainResult(best["algorithm"], model, metrics, params, importances, results)

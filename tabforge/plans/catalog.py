@@ -26,7 +26,7 @@ from tabforge.plans.prepare import prepare
 from tabforge.plans.snapshot import constraint_report, snapshot_null_counts, version_stamp, write_snapshot
 from tabforge.session import scratch_path
 from tabforge.sources.files import dataset_name as src_name
-from tabforge.sources.files import read_parquet
+from tabforge.sources.files import read_parquet, read_text_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +58,20 @@ def na_tokens_to_null(spark, sf_dir):
     return b.dirty(spark, sf_dir)
 
 
+@register("text_scan", f"WITH {o.dirty_cte()} SELECT {_DIRTY_SELECT} FROM dirty")
+def text_scan(spark, sf_dir):
+    """The dirty view written as CSV files whose columns stand in three different orders, and scanned."""
+    raw = b.dirty_raw(spark, sf_dir).drop("_c9")
+    names, paths = raw.columns, []
+    for i in range(3):
+        order = names[i * 3 :] + names[: i * 3]
+        part = raw.where(F.pmod(F.xxhash64("ID Raw"), F.lit(3)) == i).select(*[f"`{c}`" for c in order])
+        paths.append(scratch_path(spark, "text-scan"))
+        part.write.option("header", "true").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(paths[-1])
+    scan = read_text_table(spark, paths, header=names)
+    return cols.normalize_headers(scan)
+
+
 @register("parquet_scan", "SELECT * FROM lineitem")
 def parquet_scan(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem")
@@ -223,6 +237,13 @@ def _slot_sql(cte: str, tables: dict[str, dict[str, str]]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+@register("clean_snapshot_status", f"""WITH {o.clean_cte()}
+SELECT id_raw, status_raw, treat_raw, CAST(date_raw AS DATE) AS date_raw FROM cleaned""")
+def clean_snapshot_status(spark, sf_dir):
+    """The snapshot's other table."""
+    return spark.read.parquet(_snapshot_dirty(spark, sf_dir)["order_status"]).withColumn("date_raw", F.to_date("date_raw"))
+
+
 @register("snapshot_null_counts", f"WITH {o.clean_cte()}\n{_slot_sql('cleaned', b.DIRTY_TABLES)}")
 def snapshot_null_counts_q(spark, sf_dir):
     return snapshot_null_counts(spark, _snapshot_dirty(spark, sf_dir), b.DIRTY_TABLES)
@@ -257,17 +278,24 @@ def null_counts(spark, sf_dir):
     return agg.null_counts(b.dirty(spark, sf_dir), "dirty")
 
 
-@register("snapshot_round_trip", "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders")
-def snapshot_round_trip(spark, sf_dir):
+def _orders_snapshot(spark, sf_dir):
     types = {"o_orderkey": "Int64", "o_custkey": "Int64", "o_orderstatus": "object",
              "o_totalprice": "float64", "o_orderdate": "datetime64[ns]"}
     tables = {"order_head": {"o_orderkey": "INTEGER NOT NULL PRIMARY KEY", "o_custkey": "INTEGER",
                              "o_orderstatus": "VARCHAR(1)"},
               "order_money": {"o_orderkey": "INTEGER NOT NULL PRIMARY KEY", "o_totalprice": "FLOAT",
                               "o_orderdate": "DATE"}}
-    paths = write_snapshot(_t(spark, sf_dir, "orders"), scratch_path(spark, "snapshots"), "orders",
-                           version_stamp(), tables, types)
-    return spark.read.parquet(paths["order_money"])
+    return write_snapshot(_t(spark, sf_dir, "orders"), scratch_path(spark, "snapshots"), "orders", version_stamp(), tables, types)
+
+
+@register("snapshot_round_trip", "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders")
+def snapshot_round_trip(spark, sf_dir):
+    return spark.read.parquet(_orders_snapshot(spark, sf_dir)["order_money"])
+
+
+@register("snapshot_round_trip_head", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def snapshot_round_trip_head(spark, sf_dir):
+    return spark.read.parquet(_orders_snapshot(spark, sf_dir)["order_head"])
 
 
 # --- preparation filters and aggregates -----------------------------------------
@@ -478,8 +506,9 @@ def version_number(spark, sf_dir):
     return agg.next_versions(_t(spark, sf_dir, "customer", ["c_custkey"]), registry, "c_custkey")
 
 
-# --- training, tracking, scoring (no SQL twin) -------------------------------------------
+# --- training, tracking, scoring -------------------------------------------
 
 from tabforge.plans import ml_queries as _ml  # noqa: E402  (registers the ML queries)
 
 QUERIES.update(_ml.QUERIES)
+ORACLE_SQL.update({k: v.strip() for k, v in _ml.ORACLE_SQL.items()})

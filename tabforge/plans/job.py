@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tabforge.config import COLUMN_TYPES, TABLE_SCHEMAS, TUNING
-from tabforge.operators.runs import log_run
+from tabforge.operators.runs import log_run, utc_now
 from tabforge.operators.train import TrainResult, train_select
 from tabforge.plans.clean import CleanSpec, clean
 from tabforge.plans.prepare import PrepareSpec, model_columns, prepare, stages_for
@@ -48,6 +48,7 @@ def run_job(
     """Clean ``raw`` (all-text frame, or a path/glob of text tables), write the
     snapshot, prepare the model table, train and select, log the run. Returns
     paths, run id and results."""
+    started = utc_now()
     if isinstance(raw, str):
         raw = read_text_table(spark, raw)
     cs = clean_spec or CleanSpec(column_types=dict(column_types))
@@ -55,5 +56,5 @@ def run_job(
     tables = write_snapshot(clean(raw, cs), base, prefix, version, table_schemas, column_types)
     ready = prepare(spark.read.parquet(tables[model_table]), ps)
     result = train_select(ready, stages_for(ps), tuning, ps.label, folds=folds, seed=seed, parallelism=parallelism)
-    run_id = log_run(spark, runs_root, result, ps.label, model_columns(ps))
+    run_id = log_run(spark, runs_root, result, ps.label, model_columns(ps), start_time=started)
     return JobResult(tables, run_id, result)

@@ -93,7 +93,78 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(join_path(root, "scored"))
 
 
+# A label that is an exact rule of a category, so that what is learnt is known: text in English is accepted.
+RULE_SPEC = replace(b.DOC_PREPARE, rel_error=0.0)
+_FIRST_POINTS = {"classification_models": list(TUNING["classification_models"]),
+                 "hyperparameters": {m: {k: v[:1] for k, v in grid.items()} for m, grid in TUNING["hyperparameters"].items()}}
+
+
+def _rule_frame(spark, sf_dir) -> DataFrame:
+    frame = b.doc_frame(spark, sf_dir)
+    return frame.withColumn("response", F.when(F.col("lang") == "en", "yes").otherwise("no"))
+
+
+def train_rule_select(spark, sf_dir):
+    """All four classifiers on the rule: the first that learns it exactly is picked, and its top feature is the rule's."""
+    res = train_select(prepare(_rule_frame(spark, sf_dir), RULE_SPEC), stages_for(RULE_SPEC), _FIRST_POINTS, "response", folds=2, seed=SEED)
+    metrics = res.results_frame(spark).where("selected").select("algorithm", *[F.round(c, 9).alias(c) for c in ("f1", "weighted_precision", "weighted_recall", "cv_f1")])
+    top = res.importances_frame(spark).where("rank = 1").select(F.regexp_extract("feature", "^(lang)", 1).alias("top_feature"), F.round("importance", 9).alias("importance"))
+    return metrics.join(F.broadcast(top))  # one row each
+
+
+def _poisoned(spark, sf_dir) -> DataFrame:
+    """Requests of which some hold what is no number or an unseen category."""
+    k = F.col("doc_id")
+    bad = F.when(k % 11 == 0, "NaN").when(k % 13 == 0, "inf").when(k % 17 == 0, "1d").when(k % 19 == 0, "").when(k % 23 == 0, F.lit(None))
+    broken = (k % 11 == 0) | (k % 13 == 0) | (k % 17 == 0) | (k % 19 == 0) | (k % 23 == 0)
+    return _requests(spark, sf_dir).withColumn("n_chars", F.when(broken, bad).otherwise(F.col("n_chars"))).withColumn(
+        "lang", F.when(k % 29 == 0, "xx").otherwise(F.col("lang"))).withColumn("source", F.lit("src0"))
+
+
+def _rule_model(spark, sf_dir, root):
+    res = train_select(prepare(_rule_frame(spark, sf_dir), RULE_SPEC), stages_for(RULE_SPEC),
+                       {"classification_models": ["DecisionTreeClassifier"], "hyperparameters": {}}, "response", folds=2, seed=SEED)
+    log_run(spark, root, res, "response", model_columns(RULE_SPEC))
+    return load_latest(spark, root)[0]
+
+
+def score_rule(spark, sf_dir):
+    """Train on the rule, save, load the latest run, score poisoned requests of every document."""
+    model = _rule_model(spark, sf_dir, scratch_path(spark, "runs"))
+    return score_checked(model, scoring_input(_poisoned(spark, sf_dir), NUMERIC, TEXT), keep=["doc_id"])
+
+
+def stream_rule(spark, sf_dir):
+    """The same requests as files, scored by a stream in several batches."""
+    root = scratch_path(spark, "streams")
+    model = _rule_model(spark, sf_dir, join_path(root, "runs"))
+    requests = _poisoned(spark, sf_dir)
+    requests.repartition(3).write.parquet(join_path(root, "requests"))
+    q = start_scoring_stream(spark, model, join_path(root, "requests"), requests.schema, join_path(root, "scored"),
+                             join_path(root, "checkpoint"), NUMERIC, TEXT, keep=["doc_id"], max_files_per_trigger=1)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(join_path(root, "scored"))
+
+
+_RULE_SCORES = """
+WITH r AS (SELECT doc_id, CASE WHEN doc_id % 29 = 0 THEN 'xx' ELSE lang END AS lang,
+                  doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 AS bad FROM documents),
+e AS (SELECT *, concat_ws(',', CASE WHEN bad THEN 'n_chars' END, CASE WHEN lang NOT IN ('en', 'de', 'fr') THEN 'lang' END) AS err FROM r)
+SELECT doc_id, nullif(err, '') AS input_error, CASE WHEN err = '' THEN CASE WHEN lang = 'en' THEN 'Yes' ELSE 'No' END END AS response FROM e"""
+
+ORACLE_SQL = {
+    "train_rule_select": """SELECT 'DecisionTreeClassifier' AS algorithm, 1.0 AS f1, 1.0 AS weighted_precision, 1.0 AS weighted_recall, 1.0 AS cv_f1,
+       'lang' AS top_feature, 1.0 AS importance FROM documents WHERE lang = 'en' GROUP BY lang""",
+    "score_rule": _RULE_SCORES,
+    "stream_rule": _RULE_SCORES,
+}
+
 QUERIES.update({
+    "train_rule_select": train_rule_select,
+    "score_rule": score_rule,
+    "stream_rule": stream_rule,
     "train_select_best": train_select_best,
     "feature_importance": feature_importance,
     "save_load_score": save_load_score,

@@ -1,21 +1,19 @@
 """Versioned snapshot of the typed wide frame split into configured tables.
 
 Layout: ``<base>/<prefix>_ver_<version>/<table>`` (one Parquet folder per
-table), plus ``_typed`` holding the wide frame once.
+table), and the empty file ``_COMPLETE`` once all of them are written.
 
 The wide frame is written first, in one pass over the raw input; each table
 is then a column-pruned read of it. This cuts the lineage (an executor lost
 while writing table 5 re-reads Parquet instead of re-cleaning the raw text),
 keeps all tables on exactly the same rows, and reads each column only for the
-tables that need it. Each table is coalesced towards ``target_file_bytes``
-per file (no shuffle), so narrow tables do not become many small files. Table
-writes run as concurrent Spark jobs.
+tables that need it. Table writes run as concurrent Spark jobs; the wide frame
+goes when they are done.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +24,7 @@ from tabforge.operators.aggregates import null_counts
 from tabforge.session import join_path
 from tabforge.sources.schema import declared_constraints, table_struct
 
-TYPED = "_typed"
+TYPED, COMPLETE = "_typed", "_COMPLETE"
 
 
 def version_stamp(now: dt.datetime | None = None) -> str:
@@ -47,11 +45,13 @@ def write_snapshot(
     column_types: dict[str, str] = COLUMN_TYPES,
     mode: str = "errorifexists",
     max_concurrent: int = 4,
-    target_file_bytes: int = 256 * 1024 * 1024,
+    files_per_table: int | None = None,
 ) -> dict[str, str]:
     """Write every configured table; returns ``{table: path}`` in config order
     plus ``'_dir'`` → the snapshot folder. A configured column missing from
-    ``typed`` is an error before anything is written."""
+    ``typed`` is an error before anything is written. ``files_per_table`` merges
+    a table's files (no shuffle) where the caller knows that it is small. The
+    marker that a snapshot is finished is written last."""
     spark = typed.sparkSession
     folder = snapshot_dir(base, prefix, version or version_stamp())
     needed: list[str] = []
@@ -69,37 +69,29 @@ def write_snapshot(
     def write_one(table: str) -> tuple[str, str]:
         path = join_path(folder, table)
         part = spark.read.parquet(wide_path).select(*table_schemas[table])
-        sized(part, target_file_bytes).write.mode(mode).parquet(path)
+        if files_per_table is not None:
+            part = part.coalesce(files_per_table)
+        part.write.mode(mode).parquet(path)
         return table, path
 
     with ThreadPoolExecutor(max_workers=max(1, max_concurrent)) as pool:
         written = dict(pool.map(write_one, list(table_schemas)))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(hadoop.Path(wide_path), True)  # all its rows are in the tables now
+    files.createNewFile(hadoop.Path(join_path(folder, COMPLETE)))
     out = {t: written[t] for t in table_schemas}
     out["_dir"] = folder
     return out
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (for a pruned Parquet scan: the files'
-    size scaled to the selected columns); None when unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:  # noqa: BLE001 - an estimate is optional
-        return None
-
-
-def sized(df: DataFrame, target_file_bytes: int) -> DataFrame:
-    """Coalesce (narrow, no shuffle) so output files approach the target size.
-
-    A table holding a few columns of the wide frame would otherwise be written
-    as one small file per input split.
-    """
-    est = estimated_bytes(df)
-    n = df.rdd.getNumPartitions()
-    if est is None or n <= 1:
-        return df
-    want = max(1, -(-est // max(1, target_file_bytes)))
-    return df.coalesce(want) if want < n else df
+def read_snapshot(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """One table of a finished snapshot; a folder whose writing broke off is an error."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    mark = hadoop.Path(join_path(folder, COMPLETE))
+    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        raise FileNotFoundError(f"{folder} is no finished snapshot")
+    return spark.read.parquet(join_path(folder, table))
 
 
 def _field(column, table_schemas, column_types):
@@ -109,10 +101,6 @@ def _field(column, table_schemas, column_types):
     raise KeyError(column)
 
 
-def read_table(spark: SparkSession, paths: dict[str, str], table: str) -> DataFrame:
-    return spark.read.parquet(paths[table])
-
-
 def snapshot_null_counts(
     spark: SparkSession, paths: dict[str, str], table_schemas: dict[str, dict[str, str]] = TABLE_SCHEMAS
 ) -> DataFrame:
@@ -156,14 +144,3 @@ def constraint_report(
                  F.coalesce(F.col(a), F.lit(0)).cast("bigint").alias("violations"))
         for t, c, k, a in rows])))
     return stack
-
-
-def tables_with_rows(spark: SparkSession, paths: dict[str, str], tables: Sequence[str] | None = None) -> DataFrame:
-    """``(table_name, rows)`` — every table of a snapshot has the same count."""
-    names = list(tables or [t for t in paths if t != "_dir"])
-    parts = [spark.read.parquet(paths[t]).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
-             for t in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,10 @@ from tabforge.config import NA_TOKENS
 from tabforge.functions.text import na_to_null
 
 
+#: Holds the text of a row that does not fit its header.
+CORRUPT = "_corrupt_record"
+
+
 def to_hadoop_uri(path: str) -> str:
     """Object-store URIs as the Hadoop S3A connector expects them."""
     return "s3a://" + path[len("s3://"):] if path.startswith("s3://") else path
@@ -27,38 +33,57 @@ def read_text_table(
     spark: SparkSession,
     path: str | Sequence[str],
     header: Sequence[str] | None = None,
-    fmt: str = "csv",
     na_tokens: Iterable[str] = NA_TOKENS,
     options: dict[str, str] | None = None,
+    bad_rows: str = "fail",
 ) -> DataFrame:
-    """All-string table scan: every cell is text, NA tokens become null.
-
-    The header row names the columns; with ``header`` given, no schema
-    inference pass over the data is needed (the first line is still skipped).
-    Files are split by block (``maxPartitionBytes``), so the scan scales with
-    the input; quoted cells holding line breaks need
-    ``options={"multiLine": "true"}``, which reads each file in one task.
-    Blank headers come back as ``_cN`` (dropped by
+    """All-string scan of CSV files: every cell is text, NA tokens become null.
+
+    Columns go by name: each file's own header names them, files with the same
+    header are one scan, and scans are united by name, so files may order their
+    columns differently; a column that some files lack is null there. ``header``
+    picks columns (a missing one is an error). A row with more or fewer cells
+    than its header fails the read, or, with ``bad_rows="keep"``, is returned
+    with its text in ``_corrupt_record``; nothing is cut off silently. Reading
+    the headers takes one short job a file. Files are split by block, so a scan
+    grows with the input; quoted cells with line breaks need
+    ``options={"multiLine": "true"}``, which reads each file in one task. Blank
+    headers come back as ``_cN`` (dropped by
     :func:`tabforge.operators.columns.drop_unnamed`).
     """
-    reader = spark.read.format(fmt).option("header", "true").option("mode", "PERMISSIVE")
-    # Keep text verbatim: no built-in null/NaN tokens, no whitespace trimming.
-    reader = (
-        reader.option("nullValue", "\u0000\u0000")
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-    )
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    if header is not None:
-        reader = reader.schema(T.StructType([T.StructField(h, T.StringType()) for h in header]))
-    else:
-        reader = reader.option("inferSchema", "false")
+    def reader():
+        # Keep text verbatim: no built-in null/NaN tokens, no white-space trimming.
+        out = spark.read.format("csv").option("header", "true").option("inferSchema", "false").option("columnPruning", "false")
+        out = out.option("nullValue", "\u0000\u0000").option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+        return out.options(**(options or {}))
+
     paths = [to_hadoop_uri(path)] if isinstance(path, str) else [to_hadoop_uri(p) for p in path]
-    df = reader.load(paths)
+    files = sorted(r.path for r in spark.read.format("binaryFile").load(paths).select("path").collect())
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        headers = list(pool.map(lambda f: tuple(reader().load(f).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
+    scans = []
+    for names, members in groups.items():
+        if not names:  # an empty file
+            continue
+        fields = [T.StructField(n, T.StringType()) for n in names]
+        if bad_rows == "keep":
+            scan = reader().option("mode", "PERMISSIVE").schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])).load(members)
+        else:
+            scan = reader().option("mode", "FAILFAST").schema(T.StructType(fields)).load(members)
+        scans.append(scan)
+    if not scans:
+        raise ValueError(f"no table in {paths}")
+    df = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
     tokens = list(na_tokens)
-    return df.select(*[na_to_null(F.col(f"`{c}`"), tokens).alias(c) for c in df.columns])
+    columns = [c for c in df.columns if c != CORRUPT] if header is None else list(header)
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"no file has the columns {missing}")
+    kept = [na_to_null(F.col(f"`{c}`"), tokens).alias(c) for c in columns]
+    return df.select(*kept, *([CORRUPT] if bad_rows == "keep" else []))
 
 
 def dataset_name(path_col: Column | None = None) -> Column:

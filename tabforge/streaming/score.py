@@ -31,10 +31,13 @@ def start_scoring_stream(
     keep: Sequence[str] = (),
     fmt: str = "parquet",
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start the scoring query; ``available_now`` drains what is there and stops."""
+    """Start the scoring query; ``available_now`` drains what is there and stops.
+
+    A backlog runs as as many micro-batches as ``max_files_per_trigger`` makes it.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -127,3 +127,57 @@ def test_runs_registry_and_scoring(spark, trained, tmp_path):
     q.awaitTermination()
     stream = {r.rid: (r.response, r.input_error) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert stream == batch
+
+
+def test_versions_are_claimed_once(spark, tmp_path):
+    import datetime as dt
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tabforge.operators.runs import register_model
+
+    root = str(tmp_path / "reg")
+    day = lambda n: dt.datetime(2020, 1, n)
+    assert register_model(spark, root, "m", "b", "/b", day(2)) == 1
+    assert register_model(spark, root, "m", "a", "/a", day(1)) == 2  # an earlier stamp changes nothing
+    assert register_model(spark, root, "other", "c", "/c") == 1
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda i: register_model(spark, root, "m", f"r{i}", "/r"), range(4)))
+    assert sorted(got) == [3, 4, 5, 6]
+    by = {r.run_id: r.version for r in registry(spark, root).where("name = 'm'").collect()}
+    assert by["b"] == 1 and by["a"] == 2 and sorted(by.values()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_folder_without_data_is_an_error(spark, tmp_path):
+    from tabforge.operators.runs import RUNS_SCHEMA, read_table
+
+    assert read_table(spark, str(tmp_path), "runs", RUNS_SCHEMA).count() == 0
+    (tmp_path / "runs").mkdir()
+    with pytest.raises(Exception, match="(?i)infer"):
+        read_table(spark, str(tmp_path), "runs", RUNS_SCHEMA)
+
+
+def test_folds_do_not_depend_on_partitions(spark, trained):
+    spec, ready, res = trained
+    dealt = train_select(ready.repartition(7), stages_for(spec), SMALL_GRID, "response", folds=3, seed=1, parallelism=2)
+    cv = lambda r: {x["algorithm"]: round(x["cv_f1"], 6) for x in r.results if x["algorithm"] == "LogisticRegression"}
+    assert cv(dealt) == cv(res)
+
+
+@pytest.mark.parametrize("name", ["DecisionTreeClassifier", "RandomForestClassifier", "LogisticRegression", "GBTClassifier"])
+def test_every_model_type_survives_saving(spark, trained, tmp_path, name):
+    from tabforge.operators.runs import load_model, save_model
+
+    spec, ready, _ = trained
+    res = train_select(ready, stages_for(spec), {"classification_models": [name], "hyperparameters": {}}, "response", folds=2, seed=1)
+    again = load_model(save_model(res.best_model, str(tmp_path / "m")))
+    rows = lambda m: [r.prediction for r in m.transform(ready).select("prediction").collect()]
+    assert rows(again) == rows(res.best_model)
+
+
+def test_nan_and_infinite_typed_inputs_are_flagged(spark, trained):
+    spec, ready, res = trained
+    row = ready.first().asDict()
+    rows = [row | {spec.numeric[0]: v, "rid": i} for i, v in enumerate([row[spec.numeric[0]], float("nan"), float("inf"), None])]
+    df = spark.createDataFrame(rows, ready.withColumn("rid", F.lit(1)).schema)
+    got = {r.rid: (r.response is not None, r.input_error) for r in score_checked(res.best_model, df, keep=["rid"]).collect()}
+    assert got == {0: (True, None)} | {i: (False, spec.numeric[0]) for i in (1, 2, 3)}

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabforge.config import COLUMN_TYPES, TABLE_SCHEMAS
@@ -49,3 +50,31 @@ def test_json_configs(tmp_path):
 def test_records_frame(spark):
     df = records_frame(spark, [{"age": 40.0, "gender": "M"}, {"gender": "F"}], "age double, gender string")
     assert [tuple(r) for r in df.collect()] == [(40.0, "M"), (None, "F")]
+
+
+def test_columns_go_by_name_across_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("patient_id,age\n1,50\n")
+    (tmp_path / "b.csv").write_text("age,patient_id,extra\n60,2,x\n")
+    df = read_text_table(spark, str(tmp_path / "*.csv"))
+    assert sorted((r.patient_id, r.age, r.extra) for r in df.collect()) == [("1", "50", None), ("2", "60", "x")]
+    picked = read_text_table(spark, str(tmp_path / "*.csv"), header=["age", "patient_id"])
+    assert sorted(map(tuple, picked.collect())) == [("50", "1"), ("60", "2")]
+    with pytest.raises(ValueError, match="nothere"):
+        read_text_table(spark, str(tmp_path / "*.csv"), header=["nothere"])
+
+
+@pytest.mark.parametrize("row", ["3,60,EXTRA", "3"])
+def test_rows_that_do_not_fit_fail_or_are_kept(spark, tmp_path, row):
+    (tmp_path / "a.csv").write_text(f"id,age\n1,50\n{row}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_text_table(spark, str(tmp_path / "a.csv")).collect()
+    kept = read_text_table(spark, str(tmp_path / "a.csv"), bad_rows="keep").collect()
+    assert [r._corrupt_record for r in kept] == [None, row]
+
+
+def test_records_reach_the_scoring_input(spark):
+    from tabforge.operators.score import scoring_input
+
+    records = [{"age": "40", "gender": "M"}, {"age": "NaN", "gender": "F"}, {"age": "1d", "gender": "F"}, {"gender": None}]
+    got = scoring_input(records_frame(spark, records, "age string, gender string"), ["age"], ["gender"]).collect()
+    assert [(r.age, r.input_error) for r in got] == [(40.0, None), (None, "age"), (None, "age"), (None, "age,gender")]
