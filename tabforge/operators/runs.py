@@ -40,7 +40,7 @@ def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFr
     Only a missing folder counts as no run; one that can't be read is an error.
     """
     try:
-        return spark.read.schema(schema).parquet(join_path(root, name)).select(*[c.split()[0] for c in schema.split(", ")])
+        return spark.read.parquet(join_path(root, name)).select(*[c.split()[0] for c in schema.split(", ")])
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
