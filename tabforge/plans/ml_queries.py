@@ -67,30 +67,42 @@ def _requests(spark, sf_dir) -> DataFrame:
     return m.select("doc_id", *[F.col(c).cast("string").alias(c) for c in NUMERIC], *TEXT)
 
 
-def save_load_score(spark, sf_dir):
-    """Train, save and register; load the latest run's model back; score all
-    documents (one row per document)."""
-    root = scratch_path(spark, "runs")
-    _train_and_log(spark, sf_dir, root)
+def load_and_score(spark, sf_dir, root):
+    """Load the latest run's model below ``root`` and score all documents (one row per document)."""
     model, _feats, _target, _run = load_latest(spark, root)
     return score_checked(model, scoring_input(_requests(spark, sf_dir), NUMERIC, TEXT), keep=["doc_id"])
 
 
-def stream_score(spark, sf_dir):
+def load_and_stream(spark, sf_dir, root):
     """Requests written as files, scored by a Structured Streaming query into
     a Parquet sink; returns the sink (one row per request)."""
-    root = scratch_path(spark, "streams")
-    _train_and_log(spark, sf_dir, join_path(root, "runs"))
-    model, _f, _t, _r = load_latest(spark, join_path(root, "runs"))
-    src = join_path(root, "requests")
-    reqs = _requests(spark, sf_dir)
+    model, _f, _t, _r = load_latest(spark, root)
+    work = scratch_path(spark, "streams")
+    src, reqs = join_path(work, "requests"), _requests(spark, sf_dir)
     reqs.write.parquet(src)
-    q = start_scoring_stream(spark, model, src, reqs.schema, join_path(root, "scored"),
-                             join_path(root, "checkpoint"), NUMERIC, TEXT, keep=["doc_id"])
+    q = start_scoring_stream(spark, model, src, reqs.schema, join_path(work, "scored"),
+                             join_path(work, "checkpoint"), NUMERIC, TEXT, keep=["doc_id"])
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(join_path(root, "scored"))
+    return spark.read.parquet(join_path(work, "scored"))
+
+
+def trained_root(spark, sf_dir):
+    """A runs folder with one trained and logged model."""
+    root = scratch_path(spark, "runs")
+    _train_and_log(spark, sf_dir, root)
+    return root
+
+
+def save_load_score(spark, sf_dir):
+    """Train, save and register; load the latest run's model back; score all documents."""
+    return load_and_score(spark, sf_dir, trained_root(spark, sf_dir))
+
+
+def stream_score(spark, sf_dir):
+    """Train, save and register; load the model back; score a stream of all documents."""
+    return load_and_stream(spark, sf_dir, trained_root(spark, sf_dir))
 
 
 # A label that is an exact rule of a category, so that what is learnt is known: text in English is accepted.
@@ -155,8 +167,8 @@ e AS (SELECT *, concat_ws(',', CASE WHEN bad THEN 'n_chars' END, CASE WHEN lang
 SELECT doc_id, nullif(err, '') AS input_error, CASE WHEN err = '' THEN CASE WHEN lang = 'en' THEN 'Yes' ELSE 'No' END END AS response FROM e"""
 
 ORACLE_SQL = {
-    "train_rule_select": """SELECT 'DecisionTreeClassifier' AS algorithm, 1.0 AS f1, 1.0 AS weighted_precision, 1.0 AS weighted_recall, 1.0 AS cv_f1,
-       'lang' AS top_feature, 1.0 AS importance FROM documents WHERE lang = 'en' GROUP BY lang""",
+    "train_rule_select": """SELECT 'DecisionTreeClassifier' AS algorithm, 1.0::DOUBLE AS f1, 1.0::DOUBLE AS weighted_precision, 1.0::DOUBLE AS weighted_recall, 1.0::DOUBLE AS cv_f1,
+       'lang' AS top_feature, 1.0::DOUBLE AS importance FROM documents WHERE lang = 'en' GROUP BY lang""",
     "score_rule": _RULE_SCORES,
     "stream_rule": _RULE_SCORES,
 }

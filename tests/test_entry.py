@@ -20,6 +20,12 @@ def test_every_sql_has_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_entry_without_the_text_operators(monkeypatch):
+    monkeypatch.setattr(entry, "find_spec", lambda name: None)
+    assert "flagship" in entry.queries() and not [k for k in entry.queries() if k.startswith("op") or k == "pipeline"]
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 @pytest.fixture(scope="module")
 def con(sf_small):
     c = duckdb.connect()
