@@ -17,8 +17,8 @@ from tabforge.llm.common import bind, table, text_of, words, written
 
 #: Signals judged against an adaptive fence, each so many of one count per 1000 of another, with the slack
 #: that a fence leaves above its quantiles (a group whose texts are all alike has no spread of its own).
-SIGNALS = {"symbols": ("n_symbols", "n_words", 200), "dup_lines": ("n_dup_lines", "n_lines", 300),
-           "repeats": ("n_repeat_words", "n_words", 200), "word_length": ("word_chars", "n_words", 2000)}
+SIGNALS = {"symbols": ("n_symbols", "n_words", 200), "dup_lines": ("n_dup_lines", "n_lines", 500),
+           "repeats": ("n_repeat_words", "n_words", 400), "word_length": ("word_chars", "n_words", 2000)}
 #: Bucket 0 of a sketch holds rates of zero, bucket 1 those up to 1, bucket i > 1 those whose BASE * ln rounds to i - 1.
 BASE = 16
 #: A fence lies REACH times the spread between the quantiles LOW and HIGH above HIGH.
