@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabforge.session import scratch_path
 
 #: Words are separated by the space and the controls from tab to carriage return.
+SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 #: Stands in for a null doc_id where rows are put in order: nulls come last.
 LAST_ID = (1 << 63) - 1

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tabforge.llm.common import LAST_ID, bind, broadcast_if_small, table, text_of, words, written
+from tabforge.llm.common import LAST_ID, SPACES, bind, broadcast_if_small, table, text_of, words, written
 
 #: Shorter lines are dropped for equal words only.
 MIN_WORDS = 10
@@ -29,12 +29,8 @@ MIN_WORDS = 10
 BLOCKS = 3
 
 
-def _block(w: Column, start: Column, stop: Column) -> Column:
-    return F.xxhash64(F.array_join(F.slice(w, start + 1, stop - start), " "))
-
-
-def coarse_variants(w: Column, n: Column, blocks: int = BLOCKS) -> Column:
-    """2 * blocks keys of a line of n words.
+def coarse_variants(plain: Column, n: Column, blocks: int = BLOCKS) -> Column:
+    """2 * blocks keys of a line of n words with one space between them.
 
     The first half: each block of the line deleted, with n and the block's
     number. The second half: what a line of n + 1 words has left when its block
@@ -42,18 +38,22 @@ def coarse_variants(w: Column, n: Column, blocks: int = BLOCKS) -> Column:
     are one word longer.
     """
     cut = lambda i, length: F.floor(F.lit(i) * length / blocks).cast("int")
-    own = [_block(w, cut(i, n), cut(i + 1, n)) for i in range(blocks)]
-    head = [_block(w, cut(i, n + 1), cut(i + 1, n + 1)) for i in range(blocks - 1)]
-    tail = [None] + [_block(w, cut(i, n + 1) - 1, cut(i + 1, n + 1) - 1) for i in range(1, blocks)]
-    same = [F.xxhash64(n, F.lit(j), *own[:j], *own[j + 1 :]) for j in range(blocks)]
-    longer = [F.xxhash64(n + 1, F.lit(j), *head[:j], *tail[j + 1 :]) for j in range(blocks)]
-    return F.array(*same, *longer)
+
+    def without(j: int, length: Column, extra: int) -> Column:
+        before, after = cut(j, length), n - cut(j + 1, length) + extra
+        first = F.call_function("substring_index", plain, F.lit(" "), before)
+        last = F.call_function("substring_index", plain, F.lit(" "), -after)
+        return F.xxhash64(length, F.lit(j), first, last)
+
+    return F.array(*[without(j, n, 0) for j in range(blocks)], *[without(j, n + 1, 1) for j in range(blocks)])
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc, row, pos, line): every line of every row; ``row`` tells rows of the same doc_id apart."""
     text = text_of("text")
-    return docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("row"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    # The text ends here: a row that is exploded carries two numbers, whatever its length.
+    each = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64(text).alias("row"), F.split(text, "\n", -1).alias("lines"))
+    return each.select("doc", "row", F.posexplode("lines").alias("pos", "line"))
 
 
 def within_one_word(a: Column, b: Column) -> Column:
@@ -73,10 +73,18 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Earlier is by doc_id, then position. Blank lines are never listed.
     """
-    split = lines_of(docs).withColumn("w", words(F.col("line"))).withColumn("n", F.size("w")).where("n > 0")
-    joined = F.array_join("w", " ")
-    keys = F.when(F.col("n") >= min_words, coarse_variants(F.col("w"), F.col("n")))
-    lines = written(split.select("doc", "row", "pos", F.xxhash64(joined).alias("h1"), F.xxhash64(F.lit(1), joined).alias("h2"), "n", keys.alias("keys")), "lines")
+    line = F.col("line")
+    solid = lines_of(docs).where(F.btrim("line", F.lit(SPACES)) != "")
+    # Most lines have single spaces already, which a few byte searches show.
+    uneven = line.startswith(" ") | line.endswith(" ") | line.contains("  ")
+    for space in SPACES.replace(" ", ""):
+        uneven = uneven | line.contains(space)
+    plain = F.when(uneven, F.array_join(words(F.col("line")), " ")).otherwise(F.col("line"))
+    split = solid.select("doc", "row", "pos", plain.alias("plain"))
+    n = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1
+    split = split.withColumn("n", n)
+    keys = F.when(F.col("n") >= min_words, coarse_variants(F.col("plain"), F.col("n")))
+    lines = written(split.select("doc", "row", "pos", F.xxhash64("plain").alias("h1"), F.xxhash64(F.lit(1), "plain").alias("h2"), "n", keys.alias("keys")), "lines")
     place = F.struct("doc", "row", "pos")
     firsts = written(lines.groupBy("h1", "h2").agg(F.min_by(F.struct("doc", "row", "pos", "n", "keys"), place).alias("f"), F.count(F.lit(1)).alias("times")).select("h1", "h2", "f.*", "times"), "lines-first")
 
