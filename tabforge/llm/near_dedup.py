@@ -27,8 +27,9 @@ BUCKET_BITS, MANTISSA = 7, 10
 BUCKETS = 1 << BUCKET_BITS
 #: Registers of a band: at similarity 0.8 all 32 bands differ with probability (1 - 0.8 ** 4) ** 32 = 5e-8.
 BAND = 4
-#: Members that one task compares with each other; larger groups are dealt into blocks, each pair of blocks a task.
-BLOCK = 1024
+#: Members that one task compares with each other, and shingles that they have at most together (but for a single
+#: member); larger groups are dealt into blocks, each pair of blocks a task.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -154,11 +155,11 @@ class Forest:
             self.up = up
 
 
-def in_blocks(members: DataFrame, group: str, by: str, block: int) -> DataFrame:
-    """``members`` with ``task`` and ``side``: groups of up to ``block`` rows are one task; larger ones are dealt into
-    blocks, and a row goes to the task of every pair of blocks that has its own. Groups of one row go."""
-    size = members.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    rows = members.join(size, group).withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
+def in_blocks(members: DataFrame, sizes: DataFrame, group: str, by: str) -> DataFrame:
+    """``members`` with ``task`` and ``side``: groups of few enough rows are one task; larger ones are dealt into
+    blocks, and a row goes to the task of every pair of blocks that has its own. ``sizes`` has (group, _n, _blocks) of
+    the groups that are wanted."""
+    rows = members.join(sizes, group)
     rows = rows.withColumn("_own", F.pmod(draw("block", F.col(by)), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     rows = rows.withColumn("_other", other)
@@ -191,9 +192,10 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
     # Groups that many bands find alike are looked at once.
     shared = written(shared.groupBy("members", "lo", "hi", "who").agg(F.min("band").alias("band")), "near-groups")
     pairs = shared.where("members = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    large = banded.join(shared.where("members > 2").select("band"), "band").select("band", "id")
+    large = banded.select("band", "id")
     full = sets.select("id", "n", "registers")
-    tasks = in_blocks(large.join(full, "id"), "band", "id", BLOCK)
+    sizes = shared.where("members > 2").select("band", F.col("members").alias("_n"), F.ceil(F.col("members") / BLOCK).cast("int").alias("_blocks"))
+    tasks = in_blocks(large, sizes, "band", "id").join(full, "id")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
@@ -225,7 +227,7 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def confirmed_links(docs: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links confirmed on full sets, enough of them to keep what hangs together; from clusters (id, label) of ids of ``docs`` (id, text)."""
+    """(a, b): links confirmed on full sets, enough of them to keep what hangs together; from clusters (id, label, n shingles) of ids of ``docs`` (id, text)."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +238,9 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, words: int, percent: i
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(sets, pa.binary())], names=["id", "label", "shingles"])
 
     members = docs.join(clusters, "id").select("id", "label", "text").mapInArrow(shingled, "id long, label long, shingles binary")
-    tasks = in_blocks(members, "label", "id", BLOCK)
+    need = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    sizes = clusters.groupBy("label").agg(F.count(F.lit(1)).alias("_n"), F.ceil(need).cast("int").alias("_blocks"))
+    tasks = in_blocks(members, sizes, "label", "id")
 
     def confirm(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id")
@@ -284,7 +288,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     named = signed.where("set_key is not null and doc_id is not null")
     sets = written(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")), "near-sets")
     links = written(candidate_links(sets.select("id", "n", "registers"), percent / 100), "near-candidates")
-    clusters = connected(links, "near-clusters")
+    clusters = connected(links, "near-clusters").join(sets.select("id", "n"), "id")
     texts = docs.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
     confirmed = written(confirmed_links(texts, clusters, words, percent), "near-links")
     labels = connected(confirmed, "near-components")

@@ -104,8 +104,9 @@ def test_near_duplicates_match_brute_force(spark, words):
     assert got == brute_force(rows, words, 80)
 
 
-def test_large_groups_are_dealt_into_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 5)
+@pytest.mark.parametrize(("limit", "most"), [("BLOCK", 5), ("BLOCK_SHINGLES", 300)])
+def test_large_groups_are_dealt_into_blocks(spark, monkeypatch, limit, most):
+    monkeypatch.setattr(near_dedup, limit, most)
     rows = near_copies(11, groups=3, copies=25)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(df).collect()}
