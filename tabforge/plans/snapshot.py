@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,43 +105,35 @@ def _field(column, table_schemas, column_types):
 def snapshot_null_counts(
     spark: SparkSession, paths: dict[str, str], table_schemas: dict[str, dict[str, str]] = TABLE_SCHEMAS
 ) -> DataFrame:
-    """``(table_name, column_name, nulls)`` for every table slot, from one pass over the
-    wide frame (all tables hold the same rows, so a column's count is shared).
-    The slot list is the config's — a fixed, small table — hence broadcast."""
-    wide = spark.read.parquet(join_path(paths["_dir"], TYPED))
-    counts = null_counts(wide).drop("table_name")
-    slots = spark.createDataFrame(
-        [(t, c, i) for t, schema in table_schemas.items() for i, c in enumerate(schema)],
-        "table_name string, column_name string, pos int")
-    return (F.broadcast(slots).join(counts, "column_name")
-            .orderBy("table_name", "pos").select("table_name", "column_name", "nulls"))
+    """``(table_name, column_name, nulls)`` for every table slot: one aggregate per table, reading it once."""
+    counts = [null_counts(read_snapshot(spark, paths["_dir"], t).select(*schema), t) for t, schema in table_schemas.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def constraint_report(
     spark: SparkSession, paths: dict[str, str], table_schemas: dict[str, dict[str, str]] = TABLE_SCHEMAS
 ) -> DataFrame:
-    """Violations of the declared (unenforced) constraints, one aggregate pass:
+    """Violations of the declared (unenforced) constraints, one aggregate per table:
     ``(table_name, column_name, check_name, violations)`` for NOT NULL, PRIMARY KEY
     (rows minus distinct keys) and VARCHAR(n) (texts longer than n)."""
-    wide = spark.read.parquet(join_path(paths["_dir"], TYPED))
-    checks = declared_constraints(table_schemas)
-    exprs, rows = [], []
-    for i, ck in enumerate(checks):
-        c = F.col(ck["column"])
-        if ck["not_null"]:
-            exprs.append(F.sum(F.when(c.isNull(), 1).otherwise(0)).alias(f"v{i}_nn"))
-            rows.append((ck["table"], ck["column"], "not_null", f"v{i}_nn"))
-        if ck["primary_key"]:
-            exprs.append((F.count(F.lit(1)) - F.count_distinct(c)).alias(f"v{i}_pk"))
-            rows.append((ck["table"], ck["column"], "primary_key", f"v{i}_pk"))
-        if ck["max_length"] is not None:
-            exprs.append(F.sum(F.when(F.length(c.cast("string")) > ck["max_length"], 1).otherwise(0)).alias(f"v{i}_len"))
-            rows.append((ck["table"], ck["column"], f"max_length_{ck['max_length']}", f"v{i}_len"))
-    if not exprs:
+    reports = []
+    for table in table_schemas:
+        checks = {}
+        for ck in (x for x in declared_constraints(table_schemas) if x["table"] == table):
+            c = F.col(ck["column"])
+            if ck["not_null"]:
+                checks[ck["column"], "not_null"] = F.sum(F.when(c.isNull(), 1).otherwise(0))
+            if ck["primary_key"]:
+                checks[ck["column"], "primary_key"] = F.count(F.lit(1)) - F.count_distinct(c)
+            if ck["max_length"] is not None:
+                checks[ck["column"], f"max_length_{ck['max_length']}"] = F.sum(F.when(F.length(c.cast("string")) > ck["max_length"], 1).otherwise(0))
+        if not checks:
+            continue
+        counts = read_snapshot(spark, paths["_dir"], table).agg(*[e.alias(f"v{i}") for i, e in enumerate(checks.values())])
+        reports.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(k).alias("check_name"),
+                     F.coalesce(F.col(f"v{i}"), F.lit(0)).cast("bigint").alias("violations"))
+            for i, (c, k) in enumerate(checks)]))))
+    if not reports:
         return spark.createDataFrame([], "table_name string, column_name string, check_name string, violations bigint")
-    agg = wide.agg(*exprs)
-    stack = agg.select(F.inline(F.array(*[
-        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(k).alias("check_name"),
-                 F.coalesce(F.col(a), F.lit(0)).cast("bigint").alias("violations"))
-        for t, c, k, a in rows])))
-    return stack
+    return reduce(DataFrame.unionByName, reports)
