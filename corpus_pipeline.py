@@ -20,8 +20,8 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
-    training = written(quality_classifier.training_rows(docs, table(spark, sf_dir, "labels")), "quality-training")
-    scored = quality_classifier.classify(docs, quality_classifier.fit(training))
+    model = quality_classifier.fit(docs, quality_classifier.training_labels(table(spark, sf_dir, "labels")))
+    scored = quality_classifier.classify(docs, model)
     return scored.where(F.col("predicted") == 1).select("row.*")
 
 

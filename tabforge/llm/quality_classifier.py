@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import draw, table, text_of, written
+from tabforge.llm.common import broadcast_if_small, draw, table, text_of, written
 from tabforge.llm.textbytes import Words, mixed, text_chunks
 
 #: Features are hashed into 2**BITS places.
@@ -146,19 +146,22 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(column) + self.offset, -30, 30)))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, seed: str = "quality") -> Model | None:
-    """The model for rows of (doc_id, text, quality 0/1); None unless both classes occur.
+def fit(docs: DataFrame, known: DataFrame, sample: int = SAMPLE, seed: str = "quality") -> Model | None:
+    """The model for the rows of ``docs`` (doc_id, text) with a label in ``known`` (doc_id, quality 0/1; a written
+    table); None unless both classes occur.
 
-    Ratios count all rows. The linear model is fitted in one task to at most
-    ``sample`` rows. What reaches the driver has 2**BITS entries at most.
+    Ratios count all labelled rows. The linear model is fitted in one task to
+    the rows of at most ``sample`` labels. What reaches the driver has 2**BITS
+    entries at most.
     """
-    rows = labelled.where("quality in (0, 1)").select("doc_id", text_of("text").alias("text"), "quality")
-    counts = class_counts(rows.select("text", "quality")).toPandas()
+    text = docs.select("doc_id", text_of("text").alias("text"))
+    counts = class_counts(text.join(broadcast_if_small(known, 16), "doc_id").select("text", "quality")).toPandas()
     sizes = counts[counts["place"] < 0]
     if not len(sizes) or not sizes["good"].sum() or not sizes["bad"].sum():
         return None
     ratio = log_count_ratio(counts)
-    drawn = rows.orderBy(draw(seed, F.col("doc_id")), "doc_id").limit(sample)
+    picked = written(known.orderBy(draw(seed, F.col("doc_id")), "doc_id", "quality").limit(sample), "quality-sample")
+    drawn = text.join(broadcast_if_small(picked, 16), "doc_id").select("text", "quality", "doc_id")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         places, y = [], []
@@ -178,7 +181,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, seed: str = "quality") -> Mod
         slope, offset = logistic_fit(margins, y[test])
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([slope]), pa.array([offset])], names=["w", "slope", "offset"])
 
-    got = drawn.coalesce(1).mapInArrow(train, "w binary, slope double, offset double").first()
+    got = drawn.repartition(1).sortWithinPartitions("doc_id", "quality").mapInArrow(train, "w binary, slope double, offset double").first()
     return Model(ratio, np.frombuffer(got["w"]), got["slope"], got["offset"])
 
 
@@ -210,14 +213,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with a label that may be learnt from. Rows labelled twice count twice."""
-    known = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
-    return docs.select("doc_id", "text").join(known, "doc_id")
+def training_labels(labels: DataFrame) -> DataFrame:
+    """The labels that may be learnt from, as a written table. Rows labelled twice count twice."""
+    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
+    return written(known.select("doc_id", "quality"), "quality-labels")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit(written(training_rows(docs, table(spark, sf_dir, "labels")), "quality-training"))
-    out = classify(docs, model)
+    out = classify(docs, fit(docs, training_labels(table(spark, sf_dir, "labels"))))
     return out.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")

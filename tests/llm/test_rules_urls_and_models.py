@@ -112,11 +112,12 @@ def test_classifier_on_held_out_rows(spark):
 def test_classifier_edge_cases(spark, docs_of):
     bad, good = [(f"{i}", "!! %%% ## " * (5 + i), 0) for i in range(20)], [(f"{i}", f"the cat number {i} sat here " * 3, 1) for i in range(20, 60)]
     training = spark.createDataFrame([(int(a), b, c) for a, b, c in bad + good] + [(900, None, 1), (901, "", 0), (902, "odd label", None), (903, "odd label", 7)], "doc_id long, text string, quality int")
-    model = quality_classifier.fit(training)
+    known = quality_classifier.training_labels(training)
+    model = quality_classifier.fit(training, known)
     out = quality_classifier.classify(docs_of(ODD + [(50, "%%% !! ## %%% !! ##")], extra=CLASHING), model).select("row.doc_id", "score", "predicted").collect()
     assert len(out) == len(ODD) + 1 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in out)
     assert [r.predicted for r in out if r.doc_id == 50] == [0]
-    assert quality_classifier.fit(training.where("quality = 1")) is None and quality_classifier.fit(training.where("false")) is None
+    assert quality_classifier.fit(training, known.where("quality = 1")) is None and quality_classifier.fit(training.where("false"), known) is None
     assert {r.predicted for r in quality_classifier.classify(docs_of(ODD), None).collect()} == {1}
     assert quality_classifier.classify(docs_of([]), model).collect() == []
 
