@@ -106,7 +106,7 @@ def stream_score(spark, sf_dir):
 
 
 # A label that is an exact rule of a category, so that what is learnt is known: text in English is accepted.
-RULE_SPEC = replace(b.DOC_PREPARE, rel_error=0.0)
+RULE_SPEC = replace(b.DOC_PREPARE, min_count=0, outlier_columns=[])
 _FIRST_POINTS = {"classification_models": list(TUNING["classification_models"]),
                  "hyperparameters": {m: {k: v[:1] for k, v in grid.items()} for m, grid in TUNING["hyperparameters"].items()}}
 
