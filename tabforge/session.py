@@ -44,7 +44,7 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return join_path(shared_dir(spark), "tabforge", kind, uuid.uuid4().hex)
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, settings: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and the local bench (the library never creates one)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -58,6 +58,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
