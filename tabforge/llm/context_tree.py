@@ -5,9 +5,9 @@ them, then an end byte. Each byte is eight binary decisions. For every decision
 a tree of contexts (the last 0 to ``depth`` bytes) holds Krichevsky-Trofimov
 estimates, and weighting mixes the estimates of all depths: a node's weighted
 probability is half its own estimate and half its children's product. Counts
-come from the whole training corpus. The tree is a table with a row for each
-(context, decision); its probabilities are computed by one aggregation a level
-towards the root and one join a level back.
+come from the whole training corpus. The tree is cut below the two nearest bytes
+of a context: subtrees are worked out apart, the levels above by one aggregation
+a level towards the root and one join a level back.
 
 Texts are counted and scored in blocks of neighbouring rows: a block asks the
 tree for the byte strings it has, each once, in sorted compressed lists, so what
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.llm.common import table, written
@@ -163,47 +163,109 @@ def answers(asked: pa.Table, keys: np.ndarray, values: np.ndarray, places: list[
     return pa.table({"kind": asked.column("kind"), "block": asked.column("block"), "part": asked.column("part"), "n": asked.column("n"), "body": asked.column("body"), "value": pa.array(value, pa.binary())})
 
 
-def _ln_gamma(x: Column) -> Column:
-    """log gamma for x >= 0.5 (Stirling's series from x + 6)."""
-    y = x + 6
-    shift = F.log(x * (x + 1) * (x + 2)) + F.log((x + 3) * (x + 4) * (x + 5))
-    return (y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y) - shift
-
-
-def weighted_tree(counts: DataFrame, depth: int) -> DataFrame:
-    """(key, bits): the code length of each byte string's last byte after its context; from (key, n).
-
-    ``node`` numbers the 255 decisions of a byte: 1, then twice the last plus
-    its bit. A context's parent lacks its farthest byte, so a parent has at most
-    256 children and no join or aggregation has a hot key; the root's 255 rows
-    are partial sums before they move.
+def ln_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log probability of so many zeros and ones under the Krichevsky-Trofimov estimate."""
+
+    def ln_gamma(x: np.ndarray) -> np.ndarray:  # Stirling's series from x + 6, for x >= 0.5
+        y = x + 6
+        product = x * (x + 1) * (x + 2) * (x + 3)
+        return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - np.log(product) - np.log((x + 4) * (x + 5))
+
+    return ln_gamma(zeros + 0.5) + ln_gamma(ones + 0.5) - ln_gamma(zeros + ones + 1.0) - math.log(math.pi)
+
+
+class Nodes:
+    """The nodes of one depth, by ``context << 8 | decision``: counts of zeros and ones, log estimate and log weighted
+    probability, and the weight of the node's own estimate."""
+
+    def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None):
+        self.key, self.zeros, self.ones = key, zeros, ones
+        estimate = ln_kt(zeros, ones)
+        self.ln_w = estimate if below is None else np.logaddexp(estimate, below) - math.log(2)
+        self.own = np.ones(len(key)) if below is None else np.exp(estimate - math.log(2) - self.ln_w)
+        self.one = (ones + 0.5) / (zeros + ones + 1.0)  # the estimate of a one
+
+    def parents(self, depth: int) -> tuple[Nodes, np.ndarray]:
+        """The nodes whose contexts lack these ones' farthest byte, down to ``depth`` bytes, and each node's place among them."""
+        up = (self.key >> np.uint64(8) & np.uint64((1 << 8 * depth) - 1)) << np.uint64(8) | self.key & np.uint64(255)
+        key, at = np.unique(up, return_inverse=True)
+        add = lambda x: np.bincount(at, x, len(key))
+        return Nodes(key, add(self.zeros), add(self.ones), add(self.ln_w)), at
+
+
+def subtree(strings: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[list[Nodes], list[np.ndarray], np.ndarray]:
+    """Nodes of depths ``depth`` to ``top`` for byte strings and their counts; places of each level's parents; the
+    deepest node of each string's eight decisions."""
+    strings = strings.astype(np.uint64)
+    context, byte = strings >> np.uint64(8) << np.uint64(8), (strings & np.uint64(255)).astype(np.int64)
+    step = np.arange(8)
+    decision = (1 << step) | (byte[:, None] >> (8 - step))
+    key, at = np.unique((context[:, None] | decision.astype(np.uint64)).ravel(), return_inverse=True)
+    bit = ((byte[:, None] >> (7 - step)) & 1).ravel()
+    times = np.repeat(n.astype(np.float64), 8)
+    levels, places = [Nodes(key, np.bincount(at, times * (1 - bit), len(key)), np.bincount(at, times * bit, len(key)), None)], []
+    for d in range(depth - 1, top - 1, -1):
+        up, place = levels[-1].parents(d)
+        levels.append(up)
+        places.append(place)
+    return levels, places, at.reshape(-1, 8)
+
+
+def weighted_tree(counts: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """(part, key, bits): the code length of each byte string's last byte after its context; from (part, key, n).
+
+    The tree below the two nearest bytes of a context is worked out where all
+    its strings are: they share a bucket. Only its topmost nodes (at most 255
+    for each pair of bytes) meet in aggregations towards the root, and joins
+    bring back what the mixture of the shorter contexts gives to each of them.
     """
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    ln_kt = _ln_gamma(a + 0.5) + _ln_gamma(b + 0.5) - _ln_gamma(a + b + 1) - math.log(math.pi)
-    bit = lambda i: F.shiftright("key", 7 - i).bitwiseAND(F.lit(1))
-    node = lambda i: F.lit(1 << i).bitwiseOR(F.shiftright(F.col("key").bitwiseAND(F.lit(255)), 8 - i))
-    context = F.shiftright("key", 8)
-    decisions = F.explode(F.array(*[F.struct(node(i).cast("int").alias("node"), bit(i).cast("int").alias("bit")) for i in range(8)]))
-    steps = counts.select("key", "n", context.alias("context"), decisions.alias("s")).select("key", "n", "context", "s.node", "s.bit")
-    level = steps.groupBy("context", "node").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("b"))
-    level = level.withColumn("ln_kt", ln_kt).withColumn("ln_w", F.col("ln_kt")).withColumn("own", F.lit(1.0))
-    levels = [written(level, "tree")]
-    for d in range(depth - 1, -1, -1):
-        up = levels[-1].groupBy(F.col("context").bitwiseAND(F.lit((1 << (8 * d)) - 1)).alias("context"), "node").agg(
-            F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("ln_w").alias("below"))
-        up = up.withColumn("ln_kt", ln_kt)
-        top = F.greatest("ln_kt", "below")
-        up = up.withColumn("ln_w", top + F.log(F.exp(F.col("ln_kt") - top) + F.exp(F.col("below") - top)) - math.log(2))
-        levels.append(written(up.withColumn("own", F.exp(F.col("ln_kt") - math.log(2) - F.col("ln_w"))).drop("below"), "tree"))
+    top = min(2, depth)
+    near = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * top) - 1))
+    dealt = written(counts.withColumn("bucket", F.pmod(F.xxhash64(near), F.lit(buckets))), "lm-tree")
+
+    def upwards(rows: pa.Table) -> pa.Table:
+        levels, _, _ = subtree(rows.column("key").to_numpy(), rows.column("n").to_numpy(), depth, top)
+        x = levels[-1]
+        return pa.table({"bucket": np.full(len(x.key), rows.column("bucket")[0].as_py()), "key": x.key.view(np.int64), "zeros": x.zeros, "ones": x.ones, "ln_w": x.ln_w, "own": x.own})
+
+    shape = "zeros double, ones double, ln_w double"
+    crown = written(dealt.groupBy("bucket").applyInArrow(upwards, f"bucket long, key long, {shape}, own double"), "lm-crown")
+
+    # The levels above: one row for each (context, decision).
+    levels = [crown.select("key", "zeros", "ones", "ln_w", "own")]
+    for d in range(top - 1, -1, -1):
+        up = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * d) - 1))
+        sums = levels[-1].groupBy(F.shiftleft(up, 8).bitwiseOR(F.col("key").bitwiseAND(F.lit(255))).alias("key")).agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("ln_w").alias("below"))
+
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                key, zeros, ones, below = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("key", "zeros", "ones", "below"))
+                x = Nodes(key, zeros, ones, below)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key, zeros, ones, x.ln_w, x.own)], names=["key", "zeros", "ones", "ln_w", "own"])
+
+        levels.append(written(sums.mapInArrow(weigh, f"key long, {shape}, own double"), "lm-crown"))
     # Back from the root: what the depths so far give to a one, and the weight left for deeper ones.
-    one = (b + 0.5) / (a + b + 1)
-    mixed = levels[-1].select("context", "node", (F.col("own") * one).alias("p"), (1 - F.col("own")).alias("rest"))
+    one = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+    mixed_so_far = levels[-1].select("key", (F.col("own") * one).alias("p"), (1 - F.col("own")).alias("rest"))
     for d, here in enumerate(reversed(levels[:-1]), 1):
-        parent = mixed.withColumnsRenamed({"context": "up", "p": "p_up", "rest": "rest_up"})
-        here = here.withColumn("up", F.col("context").bitwiseAND(F.lit((1 << (8 * (d - 1))) - 1))).join(parent, ["up", "node"])
-        mixed = here.select("context", "node", (F.col("p_up") + F.col("rest_up") * F.col("own") * one).alias("p"), (F.col("rest_up") * (1 - F.col("own"))).alias("rest"))
-    chance = F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))
-    return steps.join(mixed, ["context", "node"]).groupBy("key").agg(F.sum(-F.log2(chance)).alias("bits"))
+        parent = mixed_so_far.withColumnsRenamed({"key": "up", "p": "p_up", "rest": "rest_up"})
+        up = F.shiftleft(F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * (d - 1)) - 1)), 8).bitwiseOR(F.col("key").bitwiseAND(F.lit(255)))
+        mixed_so_far = here.withColumn("up", up).join(parent, "up").select("key", (F.col("p_up") + F.col("rest_up") * F.col("own") * one).alias("p"), (F.col("rest_up") * (1 - F.col("own"))).alias("rest"))
+    crowned = crown.select("bucket", "key").join(mixed_so_far, "key")
+
+    def downwards(rows: pa.Table, crown: pa.Table) -> pa.Table:
+        strings = rows.column("key").to_numpy()
+        levels, places, at = subtree(strings, rows.column("n").to_numpy(), depth, top)
+        order = np.argsort(crown.column("key").to_numpy().view(np.uint64))
+        p, rest = (crown.column(k).to_numpy()[order] for k in ("p", "rest"))
+        for x, place in zip(reversed(levels[:-1]), reversed(places)):
+            p, rest = p[place] + rest[place] * x.own * x.one, rest[place] * (1 - x.own)
+        bit = (strings[:, None] >> (7 - np.arange(8))) & 1
+        chance = np.where(bit == 1, p[at], 1 - p[at])
+        return pa.table({"part": rows.column("part"), "key": strings, "bits": -np.log2(chance).sum(1)})
+
+    return dealt.groupBy("bucket").cogroup(crowned.groupBy("bucket")).applyInArrow(downwards, "part long, key long, bits double")
 
 
 def byte_size(setting: str) -> int:
@@ -250,7 +312,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     strung = asked.where("kind = 'string'")
     counts = written(strung.groupBy("part").applyInArrow(string_counts, "part long, key long, n long"), "lm-counts")
-    lengths = counts.select("key", "part").join(weighted_tree(counts.select("key", "n"), depth), "key")
+    lengths = weighted_tree(counts, depth, 2 * blocks)
 
     def string_lengths(rows: pa.Table, tree: pa.Table) -> pa.Table:
         keys, _, places = gathered(rows)
