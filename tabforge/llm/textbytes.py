@@ -11,7 +11,7 @@ import pyarrow as pa
 _BASE = 0x9E3779B97F4A7C55
 _BACK = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that are worked on at once; a longer text is taken alone.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
