@@ -31,7 +31,7 @@ from tabforge.llm.textbytes import Words, is_space, lowered, mixed, text_chunks
 #: Bytes of the longest context. A context and the byte after it fit into one long.
 DEPTH = 5
 #: Bytes of input files that make a block; a block's distinct strings grow much slower than its text.
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 #: The byte that ends a text; it stands before a text's first byte as well.
 END = 10
 #: Stands for the end token among the hashes of words.
@@ -74,7 +74,7 @@ class Tally:
         keys, at = np.unique(keys, return_inverse=True)
         self.parts.append((keys, np.bincount(at, train, len(keys)).astype(np.int64)))
         self.size += len(keys)
-        if self.size > 4_000_000:
+        if self.size > 500_000:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +136,8 @@ def in_blocks(docs: DataFrame, depth: int, bits: int) -> DataFrame:
                 asked["string"].add(strings(sym, begin, depth).view(np.uint64), np.repeat(own, size))
                 w = Words(sym, begin[1:])
                 asked["word"].add(np.concatenate([w.hash, np.full(end - first, END_TOKEN, np.uint64)]), np.concatenate([np.repeat(own, np.diff(w.of)), own]))
-        for kind, t in asked.items():
+        for kind in list(asked):
+            t = asked.pop(kind)
             keys, counts = t.merge() if t.parts else (np.zeros(0, np.uint64),) * 2
             for part, at in parts_of(keys, bits) if len(keys) else ():
                 yield row(kind, part, len(at), sealed(keys[at], True), sealed(counts[at]))
@@ -147,6 +148,7 @@ def in_blocks(docs: DataFrame, depth: int, bits: int) -> DataFrame:
 
 def gathered(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """The distinct keys of a part, their counts over all blocks, and where each block's keys lie among them."""
+    pa.default_memory_pool().release_unused()  # what the group before held
     lists = [opened(b, n, True) for b, n in zip(asked.column("body").to_pylist(), asked.column("n").to_pylist())]
     keys, at = np.unique(np.concatenate(lists), return_inverse=True)
     counts = np.concatenate([opened(b, n) for b, n in zip(asked.column("counts").to_pylist(), asked.column("n").to_pylist())])
@@ -325,6 +327,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                         ("base_score", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64()), ("bits_per_byte", pa.float64())])
 
     def judge(texts: pa.Table, answer: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the group before held
         look, kinds, out = {}, np.array(answer.column("kind").to_pylist()), []
         for kind, dtype in (("string", np.float64), ("word", np.int64)):
             at = np.flatnonzero(kinds == kind)
@@ -338,7 +341,8 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
             return values[np.searchsorted(known, keys)]
 
         of_end = int(find("word", np.array([END_TOKEN], np.uint64))[0])
-        for row in texts.to_pylist():
+        for k in range(texts.num_rows):
+            row = texts.slice(k, 1).to_pylist()[0]
             sym = np.frombuffer(pa.decompress(row["body"], row["n"], "zstd"), np.uint8)
             size = np.array(row["sizes"])
             begin = np.concatenate([[0], np.cumsum(size)])
