@@ -6,12 +6,16 @@ letters of their alphabet and case, punctuation, top-level domains and key
 prefixes stay, numbers keep their Luhn remainder, and names keep title and
 gender. The same entity has the same surrogate everywhere, however it is
 punctuated or cased; surrogates that meet each other or a real entity are drawn
-again until all are distinct.
+again until all are distinct. Where a format has too few values for that, its
+surrogates grow.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabforge.llm.common import LAST_ID, bind, broadcast_if_small, table, text_of, written
@@ -36,8 +40,10 @@ PATTERNS = {
 FOUND = "|".join(PATTERNS.values())
 #: What stays at the front of an entity of these types.
 HEAD = {"phone": r"^(\+(?:[17]|[2-9][0-9])[ .-]?)", "access_key": r"^(AKIA|ASIA)", "secret": r"^([^=:]*[=:]\s*[\"']?)", "iban": r"^([A-Z]{2})", "name": rf"^((?:{TITLES_M}|{TITLES_F}|{TITLES_X})\.? )"}
-#: Draws of one entity after which its surrogate grows by a character a draw, if its type has no fixed length.
-PATIENCE = 4
+#: Draws of one entity after which its surrogate grows by a character a draw: names, secrets, e-mails and phones, and types of fixed length.
+PATIENCE, FIXED_PATIENCE = 4, 40
+#: Phones of up to so many digits get the free values of their format one by one before they grow.
+SHORT = 5
 
 
 def kind_of(entity: Column) -> Column:
@@ -88,52 +94,81 @@ def luhn(digits: Column) -> Column:
 
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """The keyed replacement of a bare value at its n-th draw."""
+    """The keyed replacement of a bare value at its n-th draw; late draws are longer than the value."""
     seed = lambda *parts: F.sha2(F.concat_ws("|", F.lit(key), *parts), 256)
+    worded = kind.startswith("name") | kind.isin("secret", "email")
+    grown = F.greatest(F.lit(0), attempt - F.when(worded | (kind == "phone"), PATIENCE).otherwise(FIXED_PATIENCE))
+    more = F.substr(F.regexp_replace(seed(value, attempt), F.when(worded, "[0-9]").otherwise("[a-f]"), F.lit("")), F.lit(1), grown)
 
     def made(s: Column) -> Column:
         plain = _scrambled(s, value)
         local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
         top = F.concat(F.lit("."), F.substring_index(domain, ".", -1))
         host = F.regexp_replace(domain, r"\.[^.]*$", "")
-        email = F.concat(_scrambled(s, local), F.lit("@"), bind(seed(F.lit("domain"), domain), lambda d: _scrambled(d, host)), top)
+        email = F.concat(_scrambled(s, local), more, F.lit("@"), bind(seed(F.lit("domain"), domain), lambda d: _scrambled(d, host)), top)
         octet = lambda i: F.when(F.lit(i) == 0, F.pmod(F.xxhash64(s, F.lit(i)), F.lit(223)) + 1).otherwise(F.pmod(F.xxhash64(s, F.lit(i)), F.lit(256)))
         ip = F.concat_ws(".", *[octet(i).cast("string") for i in range(4)])
         head = F.concat(F.substring(value, 1, 1), bind(plain, lambda p: F.substr(p, F.lit(2), F.length(value) - 2)))
-        number = bind(head, lambda h: F.concat(h, F.pmod(luhn(value) - luhn(F.concat(h, F.lit("0"))), F.lit(10)).cast("string")))
+        number = bind(F.concat(head, more), lambda h: F.concat(h, F.pmod(luhn(value) - luhn(F.concat(h, F.lit("0"))), F.lit(10)).cast("string")))
         phone = F.concat(F.when(plain.startswith("0") & ~value.startswith("0"), F.lit("7")).otherwise(F.substring(plain, 1, 1)), F.substr(plain, F.lit(2)))
         ends = lambda g: F.when(value.rlike(r"\p{IsCyrillic}"), NAME_ENDS[g]["cyrillic"]).when(value.rlike("^[A-Za-z]+$"), NAME_ENDS[g]["latin"])
         gendered = lambda g: F.concat(F.substr(plain, F.lit(1), F.length(plain) - 1), F.coalesce(ends(g), F.substr(plain, F.length(plain))))
-        out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "number", number).when(kind == "phone", phone)
-        return out.when(kind == "name_m", gendered("m")).when(kind == "name_f", gendered("f")).otherwise(plain)
+        out = F.when(kind == "ip", ip).when(kind == "phone", phone)
+        out = out.when(kind == "name_m", gendered("m")).when(kind == "name_f", gendered("f")).otherwise(plain)
+        return F.when(kind == "email", email).when(kind == "number", number).otherwise(F.concat(out, more))
+
+    return bind(seed(kind, value, attempt.cast("string")), made)
 
-    longer = F.when((attempt > PATIENCE) & (kind.startswith("name") | kind.isin("secret")), F.substring(F.regexp_replace(seed(value, attempt), "[0-9]", ""), 1, attempt - PATIENCE)).otherwise("")
-    return F.concat(bind(seed(kind, value, attempt.cast("string")), made), longer)
 
+def free_phones(phones: DataFrame, taken: DataFrame, key: str) -> DataFrame:
+    """(kind, value, replacement) for as many of ``phones`` (kind, value) of up to SHORT digits as their formats have values that are not taken.
 
-def distinct_surrogates(entities: DataFrame, key: str, rounds: int = 40) -> DataFrame:
+    Values and free values are dealt to each other in keyed orders, per length:
+    first the values without a leading zero, which get none, then the others.
+    """
+    order = lambda c: F.row_number().over(W.partitionBy(F.length(c)).orderBy(F.sha2(F.concat_ws("|", F.lit(key), F.lit("free"), c), 256)))
+    digits = phones.sparkSession.range(10**SHORT).withColumn("length", F.explode(F.sequence(F.lit(1), F.lit(SHORT)))).where("id < power(10, length)")
+    free = digits.select(F.expr("lpad(cast(id as string), length, '0')").alias("replacement")).join(taken.where("kind = 'phone'"), "replacement", "left_anti")
+    dealt = []
+    for zero in (False, True):
+        pool = free if zero else free.where(~F.col("replacement").startswith("0"))
+        some = phones.where((F.length("value") <= SHORT) & (F.col("value").startswith("0") == F.lit(zero)))
+        pool = pool.select("replacement", F.length("replacement").alias("length"), order(F.col("replacement")).alias("at"))
+        some = some.select("kind", "value", F.length("value").alias("length"), order(F.col("value")).alias("at"))
+        dealt.append(written(some.join(pool, ["length", "at"]).select("kind", "value", "replacement"), "pii-free"))
+        free = free.join(dealt[0], "replacement", "left_anti")
+    return dealt[0].union(dealt[1])
+
+
+def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, value, replacement) for distinct (kind, value): no two of a kind alike, none a real value of its kind.
 
-    Of values that share a replacement the smallest keeps it and the rest draw
-    again, as do those that drew a real value. A format may be too small for so
-    many values; then this fails rather than let two of them fall together.
+    Of values that draw the same replacement the smallest keeps it, unless it is
+    a real value or was kept before; the rest draw again until none is left.
+    Short phones that are left after PATIENCE draws get the free values of their
+    format, and those beyond them grow, as do all others that are left, so every
+    value gets a replacement however crowded its format is.
     """
-    made = entities.withColumn("attempt", F.lit(0))
-    for _ in range(rounds):
-        made = written(made.withColumn("replacement", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key)), "pii-surrogates")
-        first = made.groupBy("kind", "replacement").agg(F.min("value").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        real = entities.select("kind", F.col("value").alias("replacement"), F.lit(True).alias("real"))
-        clash = written(made.join(first, ["kind", "replacement"], "left").join(real, ["kind", "replacement"], "left")
-                        .where(F.col("real") | (F.col("owner") != F.col("value"))).select("kind", "value"), "pii-clashes")
-        if clash.isEmpty():
-            return made.drop("attempt")
-        again = clash.select("kind", "value", F.lit(1).alias("more"))
-        made = made.drop("replacement").join(again, ["kind", "value"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("more", F.lit(0))).drop("more")
-    raise ValueError("a format has too few surrogates for its entities")
+    taken, left, attempt, done = entities.select("kind", F.col("value").alias("replacement")), entities, 0, []
+    while True:
+        drawn = written(left.withColumn("replacement", surrogate(F.col("kind"), F.col("value"), F.lit(attempt), key)), "pii-surrogates")
+        kept = [written(drawn.groupBy("kind", "replacement").agg(F.min("value").alias("value")).join(taken, ["kind", "replacement"], "left_anti")
+                        .select("kind", "value", "replacement"), "pii-kept")]
+        left = written(drawn.select("kind", "value").join(kept[0], ["kind", "value"], "left_anti"), "pii-left")
+        taken = taken.union(kept[0].select("kind", "replacement"))
+        short = left.where((F.col("kind") == "phone") & (F.length("value") <= SHORT))
+        if attempt == PATIENCE and not short.isEmpty():
+            kept.append(free_phones(short, taken, key))
+            left = written(left.join(kept[1], ["kind", "value"], "left_anti"), "pii-left")
+            taken = taken.union(kept[1].select("kind", "replacement"))
+        done += kept
+        if left.isEmpty():
+            return reduce(DataFrame.union, done)
+        attempt += 1
 
 
 def _fill(body: Column, kind: Column, new: Column) -> Column:
-    """The replacement in the punctuation and case of one occurrence."""
+    """The replacement in the punctuation and case of one occurrence; what a longer one has more comes last."""
     chars = F.filter(F.split(body, ""), lambda c: c != "")
     fresh = F.filter(F.split(new, ""), lambda c: c != "")
     keep = lambda c: F.when(kind.isin("phone", "number", "ssn"), ~c.rlike("[0-9]")).when(kind == "iban", c == " ").otherwise(F.lit(False))
@@ -141,7 +176,8 @@ def _fill(body: Column, kind: Column, new: Column) -> Column:
         F.concat(acc["text"], F.when(keep(c), c).when(F.upper(c) == F.lower(c), F.coalesce(F.get(acc["new"], acc["i"]), F.lit("")))
                  .when((kind == "email") & (c == F.upper(c)), F.upper(F.coalesce(F.get(acc["new"], acc["i"]), F.lit("")))).otherwise(F.coalesce(F.get(acc["new"], acc["i"]), F.lit("")))).alias("text"),
         F.when(keep(c), acc["i"]).otherwise(acc["i"] + 1).alias("i"), acc["new"].alias("new"))
-    filled = F.aggregate(chars, F.struct(F.lit("").alias("text"), F.lit(0).alias("i"), fresh.alias("new")), place, lambda a: a["text"])
+    filled = F.aggregate(chars, F.struct(F.lit("").alias("text"), F.lit(0).alias("i"), fresh.alias("new")), place,
+                         lambda a: F.concat(a["text"], F.array_join(F.slice(a["new"], a["i"] + 1, F.size(a["new"])), "")))
     return F.when(kind.isin("phone", "number", "ssn", "iban", "email"), filled).otherwise(new)
 
 

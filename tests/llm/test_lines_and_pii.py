@@ -112,6 +112,18 @@ def test_surrogates_stay_distinct_when_they_collide(spark):
     assert not {a for a, _ in made} & set(names)
 
 
+def test_crowded_formats_get_their_free_values_and_then_grow(spark):
+    # 700 of the 1,000 bodies of three digits: the 200 free ones without a leading zero serve 200 of them; an e-mail that no draw changes.
+    rows = [(i, f"+98{i} and +98{i}") for i in range(100, 800)] + [(0, "--@--.com")]
+    out = {r.doc_id: r.text for r in pii_surrogates.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    mail = out.pop(0)
+    made = {i: re.fullmatch(r"\+98(\d+) and \+98(\d+)", t).groups() for i, t in out.items()}
+    bodies = [a for a, _ in made.values()]
+    assert all(a == b for a, b in made.values()) and len(set(bodies)) == 700 and not set(bodies) & {str(i) for i in range(100, 800)}
+    assert sorted(x for x in bodies if len(x) == 3) == [str(i) for i in range(800, 1000)] and not [x for x in bodies if x[0] == "0"]
+    assert re.fullmatch(r"--[a-f]+@--\.com", mail)
+
+
 def test_surrogates_are_not_real_entities_on_the_small_table(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
     found = lambda df: {x for r in df.collect() for x in re.findall(r"[\w.]+@[\w.]+|(?<!\d)\d{16}(?!\d)|AKIA\w{16}|\d+\.\d+\.\d+\.\d+", r.text or "")}
