@@ -24,27 +24,25 @@ SEED = 42
 FOLDS = 5
 
 
-def _only(name: str) -> dict:
-    return {"classification_models": [name],
-            "hyperparameters": {name: TUNING["hyperparameters"][name]}}
-
-
 def _ready(spark: SparkSession, sf_dir: str, spec=b.DOC_PREPARE) -> DataFrame:
     return prepare(b.doc_frame(spark, sf_dir), spec)
 
 
+def _train(ready: DataFrame, spec):
+    """The whole search, as every query here runs it: four classifiers, their grids, all folds."""
+    return train_select(ready, stages_for(spec), TUNING, "response", folds=FOLDS, seed=SEED)
+
+
 def train_select_best(spark, sf_dir):
     """All four classifiers × their 3×3 grids × 5 folds; one row per
     classifier with in-sample and cross-validated F1, and the pick."""
-    res = train_select(_ready(spark, sf_dir), stages_for(b.DOC_PREPARE), TUNING, "response",
-                       folds=FOLDS, seed=SEED)
+    res = _train(_ready(spark, sf_dir), b.DOC_PREPARE)
     return res.results_frame(spark)
 
 
 def feature_importance(spark, sf_dir):
-    """Slot importances of the best random forest, by falling importance."""
-    res = train_select(_ready(spark, sf_dir), stages_for(b.DOC_PREPARE), _only("RandomForestClassifier"),
-                       "response", folds=FOLDS, seed=SEED)
+    """Slot importances of the best of the four, by falling importance; no rows if it has none (logistic regression)."""
+    res = _train(_ready(spark, sf_dir), b.DOC_PREPARE)
     return res.importances_frame(spark)
 
 
@@ -55,8 +53,7 @@ TEXT = ["source", "lang"]
 
 
 def _train_and_log(spark, sf_dir, root):
-    res = train_select(_ready(spark, sf_dir, SCORING_SPEC), stages_for(SCORING_SPEC),
-                       _only("DecisionTreeClassifier"), "response", folds=FOLDS, seed=SEED)
+    res = _train(_ready(spark, sf_dir, SCORING_SPEC), SCORING_SPEC)
     return log_run(spark, root, res, "response", model_columns(SCORING_SPEC))
 
 
@@ -89,7 +86,7 @@ def load_and_stream(spark, sf_dir, root):
 
 
 def trained_root(spark, sf_dir):
-    """A runs folder with one trained and logged model."""
+    """A runs folder with the best of the four trained models, logged."""
     root = scratch_path(spark, "runs")
     _train_and_log(spark, sf_dir, root)
     return root
@@ -107,8 +104,6 @@ def stream_score(spark, sf_dir):
 
 # A label that is an exact rule of a category, so that what is learnt is known: text in English is accepted.
 RULE_SPEC = replace(b.DOC_PREPARE, min_count=0, outlier_columns=[])
-_FIRST_POINTS = {"classification_models": list(TUNING["classification_models"]),
-                 "hyperparameters": {m: {k: v[:1] for k, v in grid.items()} for m, grid in TUNING["hyperparameters"].items()}}
 
 
 def _rule_frame(spark, sf_dir) -> DataFrame:
@@ -118,7 +113,7 @@ def _rule_frame(spark, sf_dir) -> DataFrame:
 
 def train_rule_select(spark, sf_dir):
     """All four classifiers on the rule: the first that learns it exactly is picked, and its top feature is the rule's."""
-    res = train_select(prepare(_rule_frame(spark, sf_dir), RULE_SPEC), stages_for(RULE_SPEC), _FIRST_POINTS, "response", folds=2, seed=SEED)
+    res = _train(prepare(_rule_frame(spark, sf_dir), RULE_SPEC), RULE_SPEC)
     metrics = res.results_frame(spark).where("selected").select("algorithm", *[F.round(c, 9).alias(c) for c in ("f1", "weighted_precision", "weighted_recall", "cv_f1")])
     top = res.importances_frame(spark).where("rank = 1").select(F.regexp_extract("feature", "^(lang)", 1).alias("top_feature"), F.round("importance", 9).alias("importance"))
     return metrics.join(F.broadcast(top))  # one row each
@@ -134,8 +129,7 @@ def _poisoned(spark, sf_dir) -> DataFrame:
 
 
 def _rule_model(spark, sf_dir, root):
-    res = train_select(prepare(_rule_frame(spark, sf_dir), RULE_SPEC), stages_for(RULE_SPEC),
-                       {"classification_models": ["DecisionTreeClassifier"], "hyperparameters": {}}, "response", folds=2, seed=SEED)
+    res = _train(prepare(_rule_frame(spark, sf_dir), RULE_SPEC), RULE_SPEC)
     log_run(spark, root, res, "response", model_columns(RULE_SPEC))
     return load_latest(spark, root)[0]
 

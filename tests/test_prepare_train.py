@@ -5,11 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tabforge.config import TUNING
 from tabforge.operators import filters as flt
 from tabforge.operators.metrics import evaluate, weighted_metrics
 from tabforge.operators.runs import load_latest, log_run, registry
 from tabforge.operators.score import score, score_checked, scoring_input
 from tabforge.operators.train import train_select
+from tabforge.plans import ml_queries
 from tabforge.plans.prepare import PrepareSpec, category_report, model_columns, prepare, stages_for
 from tabforge.streaming.score import start_scoring_stream
 
@@ -174,6 +176,23 @@ def test_every_model_type_survives_saving(spark, trained, tmp_path, name):
     assert rows(again) == rows(res.best_model)
 
 
+def test_every_query_trains_the_whole_search(spark, sf_small, tmp_path, monkeypatch):
+    calls = []
+
+    class Trained(Exception):
+        pass
+
+    def search(df, stages, tuning, label, folds, seed):
+        calls.append((tuning, folds))
+        raise Trained
+
+    monkeypatch.setattr(ml_queries, "train_select", search)
+    for name in ml_queries.QUERIES:
+        with pytest.raises(Trained):
+            ml_queries.QUERIES[name](spark, sf_small)
+    assert len(calls) == 7 and all(c == (TUNING, 5) for c in calls)
+
+
 def test_nan_and_infinite_typed_inputs_are_flagged(spark, trained):
     spec, ready, res = trained
     row = ready.first().asDict()
