@@ -32,9 +32,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the smallest doc_id."""
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near copies stays, the one with the smallest doc_id; of an id with several texts, only those that are copies go."""
+    gone = near_dedup.near_rows(docs).where(~F.col("kept")).select("doc_id", "text_key").distinct()
+    same = (docs["doc_id"] == gone["doc_id"]) & (near_dedup.text_key(docs["text"]) == gone["text_key"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -100,8 +100,13 @@ def may_link(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray, similar
     return near_enough(estimate(a, n, b, m), n[:, None], m[None, :], used, similarity)
 
 
+def text_key(text: Column) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(text)
+
+
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(row key, n_shingles, set_key, registers) for every row of ``docs`` (doc_id, text); an empty text has no set_key."""
+    """(doc_id, text_key, n_shingles, set_key, registers) for every row of ``docs`` (doc_id, text); an empty text has no set_key."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,10 +119,10 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     keys.append(np.array([len(s), s.sum(dtype=np.uint64), mixed(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)], "<u8").tobytes() if len(s) else None)
                     regs.append(registers(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())],
-                names=["doc_id", "n_shingles", "set_key", "registers"])
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())],
+                names=["doc_id", "text_key", "n_shingles", "set_key", "registers"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, registers binary")
+    return docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).mapInArrow(sign, "doc_id long, text_key long, n_shingles long, set_key binary, registers binary")
 
 
 class Forest:
@@ -284,18 +289,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     blank texts have none and stand alone. Rows that repeat a doc_id share its
     answers for each text of theirs; a null doc_id is linked with nothing.
     """
+    return near_rows(docs, words, percent).drop("text_key")
+
+
+def near_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``near_duplicates`` with the text_key of each row. Sets have ids of their own, as one doc_id may stand for several."""
     signed = written(signatures(docs, words), "near-signatures")
     named = signed.where("set_key is not null and doc_id is not null")
-    sets = written(named.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")), "near-sets")
+    sets = written(named.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key")).alias("of"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+                   .select(F.monotonically_increasing_id().alias("id"), "set_key", "of.doc_id", "of.text_key", "n", "registers"), "near-sets")
     links = written(candidate_links(sets.select("id", "n", "registers"), percent / 100), "near-candidates")
     clusters = connected(links, "near-clusters").join(sets.select("id", "n"), "id")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    clusters = written(clusters, "near-clusters")
+    owners = sets.join(clusters.select("id"), "id", "left_semi").select("id", "doc_id", "text_key")
+    texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key")).join(owners, ["doc_id", "text_key"]).select("id", "text").dropDuplicates(["id"])
     confirmed = written(confirmed_links(texts, clusters, words, percent), "near-links")
     labels = connected(confirmed, "near-components")
-    of_set = sets.join(labels, "id", "left").select("set_key", F.coalesce("label", "id").alias("component_id"))
+    named = labels.join(sets.select("id", "doc_id"), "id").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    labels = labels.join(named, "label").select("id", "component_id")
+    of_set = sets.join(labels, "id", "left").select("set_key", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = signed.join(of_set, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

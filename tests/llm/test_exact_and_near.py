@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from tabforge.llm import near_dedup
 from tabforge.llm.components import connected
 from tabforge.llm.exact_dedup import QuotientFilter, exact_duplicates, repeated_fingerprints
@@ -119,6 +120,18 @@ def test_op10_matches_brute_force_on_the_small_table(spark, sf_small):
     assert got == brute_force(rows, 4, 80)
 
 
+def test_an_id_with_two_texts_is_linked_by_both(docs_of):
+    text = lambda name, edit="": " ".join(f"{name}{k}" for k in range(60)) + edit
+    # Id 5 holds a near copy of 2's text and one of 3's, and a text of its own; 1's two texts have near copies in 7 and 8.
+    rows = [(2, text("a")), (3, text("b")), (5, text("a", " x")), (5, text("b", " x")), (5, text("c")), (1, text("d")), (1, text("e")), (7, text("d", " x")), (8, text("e", " x"))]
+    for order in (rows, rows[::-1]):
+        df = docs_of(order)
+        got = sorted((r.doc_id, r.component_id) for r in near_dedup.near_duplicates(df).collect())
+        assert got == [(1, 1), (1, 1), (2, 2), (3, 3), (5, 2), (5, 3), (5, 5), (7, 1), (8, 1)]
+        left = sorted((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(df.sparkSession, df, "").collect())
+        assert left == sorted([rows[0], rows[1], rows[4], rows[5], rows[6]])
+
+
 def test_near_duplicates_on_odd_rows(docs_of):
     got = near_dedup.near_duplicates(docs_of(ODD, extra=("set_key", "registers", "id"))).collect()
     assert len(got) == len(ODD)
