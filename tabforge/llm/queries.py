@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabforge.llm import context_tree, exact_dedup, line_dedup, mixing, near_dedup, packing, periodic_runs, pii_surrogates, quality_classifier, quality_rules, url_filters
+from tabforge.llm import context_tree, exact_dedup, fingerprints, line_dedup, mixing, near_dedup, packing, periodic_runs, pii_surrogates, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality_classifier": quality_classifier.op9_quality_classifier,
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_fingerprints": fingerprints.op12_fingerprints,
 }
 
 ORACLE_SQL = {
