@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabforge.llm import context_tree, exact_dedup, fingerprints, line_dedup, mixing, near_dedup, packing, periodic_runs, pii_surrogates, quality_classifier, quality_rules, url_filters
+from tabforge.llm import collocations, context_tree, exact_dedup, fingerprints, line_dedup, mixing, near_dedup, packing, periodic_runs, pii_surrogates, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_near_dedup": near_dedup.op10_near_dedup,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_fingerprints": fingerprints.op12_fingerprints,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op5_url_filter": url_filters.OP5_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
