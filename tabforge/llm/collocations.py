@@ -343,7 +343,7 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS ws FROM pieces),
+w AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS ws FROM pieces),
 size AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
 grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
           FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(ws) >= k)),
