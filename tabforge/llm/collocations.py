@@ -32,6 +32,8 @@ THRESHOLD, LONGEST, TOP = 100, 5, 2000
 FILTER_BITS = 27
 #: Occurrences that a hash partition is made for, and distinct phrases that a task holds before it hands on its summaries.
 PART_MASS, HELD = 1 << 22, 1 << 21
+#: Merged summaries have so many times the capacity that the guarantee asks for: a counter is short by a sixteenth of the threshold at most, so few others survive.
+ROOM = 16
 _ENDS = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 
 
@@ -217,7 +219,7 @@ def merged(parts: DataFrame, threshold: int) -> DataFrame:
                 if not batch.column(2)[i].is_valid:
                     mass += batch.column(1)[i].as_py()
                     continue
-                whole = whole or Summary(mass // threshold + 1)
+                whole = whole or Summary(ROOM * (mass // threshold + 1))
                 whole.merge(*unpacked(batch.column(2)[i].as_py()))
         yield from over()
 
