@@ -11,7 +11,8 @@ A phrase can be frequent only if its parts are, so phrases of one word come
 first, then two, then three to five; a filter of bounded size (a bit for each
 of 2**FILTER_BITS hashes) keeps out phrases with a part that is not frequent.
 It lets some others pass, which costs time only. What survives is counted
-exactly by its text in a pass of its own.
+exactly in a pass of its own. Phrases go by 64-bit hashes of their words and
+language until they are spelt out, a word at a time, from the frequent words.
 """
 
 from __future__ import annotations
@@ -137,12 +138,13 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _sized(found: Phrases, sizes: range, part: np.ndarray | None, whole: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(size, places, hashes) of the phrases of each size whose parts of ``sizes.start - 1`` words all pass ``part``, and which pass ``whole`` themselves."""
-    hashes, fine, below = found.hash, None, sizes.start - 1
+def _sized(found: Phrases, sizes: range, part: np.ndarray | None, whole: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(size, places, hashes, hashes without the last word) of the phrases of each size whose parts of ``sizes.start - 1`` words all pass ``part``, and which pass ``whole`` themselves."""
+    hashes = shorter = found.hash
+    fine, below = None, sizes.start - 1
     for size in range(1, sizes.stop):
         if size > 1:
-            hashes = found.longer(hashes, size)
+            hashes, shorter = found.longer(hashes, size), hashes
         if part is not None and size == below:
             fine = passes(part, hashes)
         if size < sizes.start:
@@ -154,7 +156,7 @@ def _sized(found: Phrases, sizes: range, part: np.ndarray | None, whole: np.ndar
         if whole is not None:
             ok = ok & passes(whole, hashes)
         at = np.flatnonzero(ok)
-        yield size, at, hashes[at]
+        yield size, at, hashes[at], shorter[at]
 
 
 def summaries(texts: DataFrame, sizes: range, part, bits: int, held: int) -> DataFrame:
@@ -184,7 +186,7 @@ def summaries(texts: DataFrame, sizes: range, part, bits: int, held: int) -> Dat
         known = part.value if part is not None else None
         for batch in batches:
             for _, found in phrases(batch):
-                waiting += [hashes for _, _, hashes in _sized(found, sizes, known)]
+                waiting += [hashes for _, _, hashes, _ in _sized(found, sizes, known)]
                 if sum(map(len, waiting)) > held:
                     take_in()
                 if len(own.keys) > held:
@@ -228,28 +230,27 @@ def merged(parts: DataFrame, threshold: int) -> DataFrame:
     return dealt.mapInArrow(run, "key long")
 
 
-def counted(texts: DataFrame, sizes: range, part, whole) -> DataFrame:
-    """(lang, phrase, size, count): exact counts of the phrases that pass the filters; languages' words under an empty phrase, size 0."""
+def counted_words(texts: DataFrame, whole) -> DataFrame:
+    """(key, lang, phrase, size, count): exact counts of the words that pass the filter; a language's words under an empty phrase, size 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, kept = part.value if part is not None else None, whole.value if whole is not None else None
         tally: dict[int, list] = {}
         totals: dict[str, int] = {}
 
         def hand_on() -> Iterator[pa.RecordBatch]:
-            rows = [*tally.values(), *([lang, "", 0, n] for lang, n in totals.items())]
+            rows = [(key - (1 << 64) if key >> 63 else key, *row) for key, row in tally.items()] + [(0, lang, "", 0, n) for lang, n in totals.items()]
             tally.clear()
             totals.clear()
             for at in range(0, len(rows), 1 << 16):
                 cols = list(zip(*rows[at : at + (1 << 16)]))
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64())], names=["lang", "phrase", "size", "count"])
+                kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "lang", "phrase", "size", "count"])
 
         for batch in batches:
             for langs, found in phrases(batch):
-                if sizes.start == 1:
-                    for text, n in enumerate(np.bincount(found.text, minlength=len(langs)).tolist()):
-                        totals[langs[text]] = totals.get(langs[text], 0) + n
-                for size, at, hashes in _sized(found, sizes, known, kept):
+                for text, n in enumerate(np.bincount(found.text, minlength=len(langs)).tolist()):
+                    totals[langs[text]] = totals.get(langs[text], 0) + n
+                for size, at, hashes, _ in _sized(found, range(1, 2), None, whole.value):
                     keys, first, counts = np.unique(hashes, return_index=True, return_counts=True)
                     for key, i, n in zip(keys.tolist(), at[first].tolist(), counts.tolist()):
                         if key in tally:
@@ -260,8 +261,83 @@ def counted(texts: DataFrame, sizes: range, part, whole) -> DataFrame:
                     yield from hand_on()
         yield from hand_on()
 
-    rows = texts.mapInArrow(run, "lang string, phrase string, size int, count long")
-    return rows.groupBy("lang", "phrase", "size").agg(F.sum("count").alias("count"))
+    rows = texts.mapInArrow(run, "key long, lang string, phrase string, size int, count long")
+    return rows.groupBy("key", "lang", "phrase", "size").agg(F.sum("count").alias("count"))
+
+
+#: What is kept of a phrase while it is counted: its hash, its hash without the last word, the last word's, its size and its count.
+TALLY = np.dtype([("key", "<u8"), ("head", "<u8"), ("last", "<u8"), ("size", "u1"), ("count", "<i8")])
+
+
+def added_up(tallies: list[np.ndarray]) -> np.ndarray:
+    """One row for each key, in order, with the sum of its counts."""
+    rows = np.concatenate([np.zeros(0, TALLY), *tallies])
+    rows = rows[np.argsort(rows["key"], kind="stable")]
+    first = np.flatnonzero(np.append(True, rows["key"][1:] != rows["key"][:-1])) if len(rows) else np.zeros(0, np.int64)
+    out = rows[first]
+    if len(first):
+        out["count"] = np.add.reduceat(rows["count"], first)
+    return out
+
+
+def counted(texts: DataFrame, sizes: range, part, whole, bits: int, threshold: int) -> DataFrame:
+    """(key, head, last, size, count): exact counts, from ``threshold`` on, of the phrases that pass the filters.
+
+    A task hands on one table of counts for each hash partition, and the tables
+    of a partition are added up one by one. A phrase is the phrase without its
+    last word, ``head``, and that word, ``last``.
+    """
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, waiting = np.zeros(0, TALLY), []
+
+        def hand_on() -> Iterator[pa.RecordBatch]:
+            to = (own["key"] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(own), np.int64)
+            cut = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
+            for a, b in zip(cut, np.append(cut[1:], len(to))):
+                yield pa.RecordBatch.from_arrays([pa.array([int(to[a])]), pa.array([own[a:b].tobytes()], pa.binary())], names=["part", "counts"])
+
+        for batch in batches:
+            for _, found in phrases(batch):
+                for size, at, hashes, heads in _sized(found, sizes, part.value, whole.value):
+                    keys, first, counts = np.unique(hashes, return_index=True, return_counts=True)
+                    rows = np.zeros(len(keys), TALLY)
+                    rows["key"], rows["head"], rows["last"], rows["size"], rows["count"] = keys, heads[first], found.hash[at[first] + size - 1], size, counts
+                    waiting.append(rows)
+                if sum(map(len, waiting)) > HELD // 4:
+                    own, waiting = added_up([own, *waiting]), []
+                if len(own) > HELD // 2:
+                    yield from hand_on()
+                    own = own[:0]
+        own = added_up([own, *waiting])
+        yield from hand_on()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, whole = None, np.zeros(0, TALLY)
+
+        def over() -> Iterator[pa.RecordBatch]:
+            rows = whole[whole["count"] >= threshold]
+            longs = [pa.array(np.ascontiguousarray(rows[c]).view(np.int64)) for c in ("key", "head", "last")]
+            yield pa.RecordBatch.from_arrays([*longs, pa.array(rows["size"].astype(np.int32)), pa.array(np.ascontiguousarray(rows["count"]))], names=["key", "head", "last", "size", "count"])
+
+        for batch in batches:
+            for number, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if number != at:
+                    yield from over()
+                    at, whole = number, np.zeros(0, TALLY)
+                whole = added_up([whole, np.frombuffer(raw.as_buffer(), TALLY)])
+        yield from over()
+
+    tables = texts.mapInArrow(tally, "part long, counts binary").repartition(parts_for(texts), "part").sortWithinPartitions("part")
+    return tables.mapInArrow(add, "key long, head long, last long, size int, count long")
+
+
+def spelt(counts: DataFrame, heads: DataFrame, words: DataFrame, size: int) -> DataFrame:
+    """(key, lang, phrase, size, count) of the phrases of ``size`` words, whose parts are as frequent and so are in ``heads`` and ``words``."""
+    front = heads.select(F.col("key").alias("head"), F.col("phrase").alias("front"))
+    back = words.select(F.col("key").alias("last"), "lang", F.col("phrase").alias("back"))
+    both = counts.where(F.col("size") == size).join(front, "head").join(back, "last")
+    return both.select("key", "lang", F.concat_ws(" ", "front", "back").alias("phrase"), "size", "count")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, part_mass: int = PART_MASS, held: int = HELD, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -275,21 +351,27 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     sc = docs.sparkSession.sparkContext
 
-    def survivors(sizes: range, part, mass: int) -> DataFrame:
-        bits = max(0, (mass // part_mass).bit_length())
-        return written(merged(summaries(texts, sizes, part, bits, held), threshold), f"phrases-{sizes.start}")
+    mass = docs.select(F.coalesce(F.sum(F.length("text") / 4), F.lit(0.0)).cast("long").alias("n")).first()["n"]
+
+    def survivors(sizes: range, part, bits: int):
+        found = written(merged(summaries(texts, sizes, part, bits, held), threshold), f"phrases-{sizes.start}")
+        return sc.broadcast(filter_of(found, filter_bits))
 
-    size_ranges = [range(k, k + 1) for k in (1, 2) if k <= longest] + ([range(3, longest + 1)] if longest > 2 else [])
-    tables, part, mass = [], None, docs.select(F.coalesce(F.sum(F.length("text") / 4), F.lit(0.0)).cast("long").alias("n")).first()["n"]
-    for sizes in size_ranges:
-        whole = sc.broadcast(filter_of(survivors(sizes, part, mass * len(sizes)), filter_bits))
-        exact = written(counted(texts, sizes, part, whole).where((F.col("count") >= threshold) | (F.col("size") == 0)), f"phrase-counts-{sizes.start}")
-        tables.append(exact)
+    bits_for = lambda sizes: max(0, (mass * len(sizes) // part_mass).bit_length())
+    part = survivors(range(1, 2), None, bits_for(range(1)))
+    exact = written(counted_words(texts, part).where((F.col("count") >= threshold) | (F.col("size") == 0)), "words")
+    words = heads = exact.where("size = 1")
+    out = exact
+    for sizes in (range(2, min(longest, 2) + 1), range(3, longest + 1)):
+        if not sizes:
+            continue
+        whole = survivors(sizes, part, bits_for(sizes))
+        counts = written(counted(texts, sizes, part, whole, bits_for(sizes), threshold), f"phrase-counts-{sizes.start}")
         part = whole
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
-    return out
+        for size in sizes:
+            heads = written(spelt(counts, heads, words, size), f"phrases-of-{size}")
+            out = out.unionByName(heads)
+    return out.drop("key")
 
 
 def scored(counts: DataFrame, factor: int = 1000) -> DataFrame:
