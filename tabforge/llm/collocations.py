@@ -230,39 +230,57 @@ def merged(parts: DataFrame, threshold: int) -> DataFrame:
     return dealt.mapInArrow(run, "key long")
 
 
-def counted_words(texts: DataFrame, whole) -> DataFrame:
-    """(key, lang, phrase, size, count): exact counts of the words that pass the filter; a language's words under an empty phrase, size 0."""
+def counted_words(texts: DataFrame, whole, bits: int, threshold: int) -> DataFrame:
+    """(key, lang, phrase, size, count): exact counts, from ``threshold`` on, of the words that pass the filter; all words of a language under an empty phrase, size 0.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally: dict[int, list] = {}
-        totals: dict[str, int] = {}
+    As with longer phrases, a task hands on one table for each hash partition; words carry their spelling.
+    """
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[tuple[str, str], list[int]] = {}  # (lang, word): key, count
 
         def hand_on() -> Iterator[pa.RecordBatch]:
-            rows = [(key - (1 << 64) if key >> 63 else key, *row) for key, row in tally.items()] + [(0, lang, "", 0, n) for lang, n in totals.items()]
-            tally.clear()
-            totals.clear()
-            for at in range(0, len(rows), 1 << 16):
-                cols = list(zip(*rows[at : at + (1 << 16)]))
-                kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["key", "lang", "phrase", "size", "count"])
+            parts: dict[int, list] = {}
+            for (lang, word), (key, n) in own.items():
+                parts.setdefault(key >> (64 - bits) if bits else 0, []).append((key, lang, word, n))
+            own.clear()
+            kinds = (pa.list_(pa.uint64()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()))
+            for part, rows in parts.items():
+                lists = [pa.array([list(column)], kind) for column, kind in zip(zip(*rows), kinds)]
+                yield pa.RecordBatch.from_arrays([pa.array([part]), lists[0].cast(pa.list_(pa.int64()), safe=False), *lists[1:]], names=["part", "keys", "langs", "words", "counts"])
 
         for batch in batches:
             for langs, found in phrases(batch):
                 for text, n in enumerate(np.bincount(found.text, minlength=len(langs)).tolist()):
-                    totals[langs[text]] = totals.get(langs[text], 0) + n
+                    own.setdefault((langs[text], ""), [0, 0])[1] += n
                 for size, at, hashes, _ in _sized(found, range(1, 2), None, whole.value):
                     keys, first, counts = np.unique(hashes, return_index=True, return_counts=True)
                     for key, i, n in zip(keys.tolist(), at[first].tolist(), counts.tolist()):
-                        if key in tally:
-                            tally[key][3] += n
-                        else:
-                            tally[key] = [langs[found.text[i]], found.spell(i, size), size, n]
-                if len(tally) > HELD // 8:
+                        own.setdefault((langs[found.text[i]], found.spell(i, size)), [key, 0])[1] += n
+                if len(own) > HELD // 8:
                     yield from hand_on()
         yield from hand_on()
 
-    rows = texts.mapInArrow(run, "key long, lang string, phrase string, size int, count long")
-    return rows.groupBy("key", "lang", "phrase", "size").agg(F.sum("count").alias("count"))
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, whole = None, {}
+
+        def over() -> Iterator[pa.RecordBatch]:
+            rows = [(key, lang, word, min(1, len(word)), n) for (lang, word), (key, n) in whole.items() if n >= threshold or not word]
+            if rows:
+                kinds = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["key", "lang", "phrase", "size", "count"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["part"] != at:
+                    yield from over()
+                    at, whole = row["part"], {}
+                for key, lang, word, n in zip(row["keys"], row["langs"], row["words"], row["counts"]):
+                    whole.setdefault((lang, word), [key, 0])[1] += n
+        yield from over()
+
+    tables = texts.mapInArrow(tally, "part long, keys array<long>, langs array<string>, words array<string>, counts array<long>")
+    return tables.repartition(parts_for(texts), "part").sortWithinPartitions("part").mapInArrow(add, "key long, lang string, phrase string, size int, count long")
 
 
 #: What is kept of a phrase while it is counted: its hash, its hash without the last word, the last word's, its size and its count.
@@ -359,7 +377,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
 
     bits_for = lambda sizes: max(0, (mass * len(sizes) // part_mass).bit_length())
     part = survivors(range(1, 2), None, bits_for(range(1)))
-    exact = written(counted_words(texts, part).where((F.col("count") >= threshold) | (F.col("size") == 0)), "words")
+    exact = written(counted_words(texts, part, bits_for(range(1)), threshold), "words")
     words = heads = exact.where("size = 1")
     out = exact
     for sizes in (range(2, min(longest, 2) + 1), range(3, longest + 1)):
