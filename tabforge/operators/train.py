@@ -7,6 +7,7 @@ model objects and a handful of metric values live on the driver.
 
 from __future__ import annotations
 
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -26,10 +27,13 @@ from pyspark.sql import functions as F
 from tabforge.config import LABEL_COLUMN, TUNING
 from tabforge.config.defaults import CV_FOLDS
 from tabforge.operators.features import slot_names
-from tabforge.operators.metrics import f1_evaluator, weighted_metrics
+from tabforge.operators.metrics import weighted_metrics
+from tabforge.operators.nested import shared_fits, staged_scores
 
 #: Names a row's fold while the models are fitted.
 FOLD = "_fold"
+#: A fit's jobs have a task for so many rows at least: few rows are spread over the fits that run at once, not over the tasks of each.
+TASK_ROWS = 20_000
 
 ESTIMATORS = {
     "DecisionTreeClassifier": DecisionTreeClassifier,
@@ -65,6 +69,12 @@ class TrainResult:
     params: dict[str, object]
     importances: list[tuple[str, float]] | None
     results: list[dict] = field(default_factory=list)
+    #: (algorithm, grid point, its parameters, fold, F1 on the fold) of every point and fold.
+    grid: list[tuple[str, int, str, int, float]] = field(default_factory=list)
+
+    def grid_frame(self, spark: SparkSession) -> DataFrame:
+        """The score of every grid point in every fold."""
+        return spark.createDataFrame(self.grid, "algorithm string, point int, params string, fold int, f1 double")
 
     def results_frame(self, spark: SparkSession) -> DataFrame:
         """Per algorithm: in-sample and cross-validated metrics, and the pick."""
@@ -102,6 +112,33 @@ def _for_fold(stages: list) -> list:
     return out
 
 
+class _Folds:
+    """The features of each fold's training and validation rows: made when first asked for, given back after its last fit."""
+
+    def __init__(self, data: DataFrame, stages: list, columns: list[str], uses: int):
+        self.data, self.stages, self.columns = data, stages, columns
+        self.uses, self.locks, self.frames = {}, {}, {}
+        self.most, self.guard = uses, threading.Lock()
+
+    def frame(self, k: int) -> tuple[DataFrame, DataFrame] | None:
+        """The fold's frames, kept in memory and on disk; None if no row is in it."""
+        with self.guard:
+            lock = self.locks.setdefault(k, threading.Lock())
+        with lock:
+            if k not in self.frames:
+                features = Pipeline(stages=_for_fold(self.stages)).fit(self.data.where(F.col(FOLD) != k))
+                sides = [features.transform(self.data.where(side)).select(*self.columns).persist(StorageLevel.MEMORY_AND_DISK) for side in (F.col(FOLD) != k, F.col(FOLD) == k)]
+                self.frames[k] = None if sides[1].isEmpty() else tuple(sides)
+            return self.frames[k]
+
+    def done(self, k: int) -> None:
+        with self.guard:
+            self.uses[k] = self.uses.get(k, 0) + 1
+            over = self.uses[k] == self.most and self.frames.get(k)
+        for side in over or ():
+            side.unpersist()
+
+
 def train_select(
     df: DataFrame,
     stages: list,
@@ -110,7 +147,7 @@ def train_select(
     features_col: str = "features",
     folds: int = CV_FOLDS,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
     select_by: str = "in_sample",
 ) -> TrainResult:
     """Cross-validated grid search per classifier, then the best classifier.
@@ -120,7 +157,11 @@ def train_select(
     and all classifiers and grid points share its features; the models are those
     that a pipeline refitted for each grid point gives. A row's fold is a hash of
     its values, so all classifiers see the same folds however the rows are
-    partitioned. ``parallelism`` fits run at once.
+    partitioned. Grid points whose models are part of a larger one (fewer
+    boosting iterations, shallower trees) are read off one fit
+    (:mod:`tabforge.operators.nested`) and score as separate fits do.
+    ``parallelism`` fits run at once, fold after fold and the longest first, so
+    that a fold's last fits overlap with the next one's.
 
     The best grid point is refit on all rows and scored on them (in-sample
     weighted F1, precision, recall, as the source does); ``select_by='cv'``
@@ -131,33 +172,35 @@ def train_select(
     if not names:
         raise ValueError("no classifier configured")
     fold = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(folds))
-    data = df.withColumn(FOLD, fold).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.withColumn(FOLD, fold).coalesce(1 + df.count() // TASK_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
     estimators = {n: make_estimator(n, features_col, label_col, seed) for n in names}
-    points = [(n, i, p) for n in names for i, p in enumerate(param_grid(estimators[n], tuning))]
-    scores: dict[tuple[str, int], list[float]] = {(n, i): [] for n, i, _ in points}
-    evaluator = f1_evaluator(label_col)
+    grids = {n: param_grid(estimators[n], tuning) for n in names}
+    points = [(n, i, p) for n in names for i, p in enumerate(grids[n])]
+    fits = sorted((f for n in names for f in shared_fits(n, grids[n])), key=lambda f: -f.cost())
+    scores: dict[tuple[str, int], dict[int, float]] = {(n, i): {} for n, i, _ in points}
+    shared = _Folds(data, stages, [features_col, label_col], len(fits))
+
+    def score_fit(job) -> None:
+        k, fit = job
+        try:
+            sides = shared.frame(k)
+            if sides is not None:
+                model = estimators[fit.algorithm].fit(sides[0], fit.params)
+                for i, f1 in zip(fit.points, staged_scores(model, sides[1], label_col, fit.stages)):
+                    scores[fit.algorithm, i][k] = f1
+        finally:
+            shared.done(k)
+
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            for k in range(folds):
-                features = Pipeline(stages=_for_fold(stages)).fit(data.where(F.col(FOLD) != k))
-                train, valid = (features.transform(data.where(side)).select(features_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
-                                for side in (F.col(FOLD) != k, F.col(FOLD) == k))
-
-                def fit_one(point, train=train, valid=valid):
-                    return evaluator.evaluate(estimators[point[0]].fit(train, point[2]).transform(valid))
-
-                if not valid.isEmpty():
-                    for (n, i, _), f1 in zip(points, pool.map(fit_one, points)):
-                        scores[n, i].append(f1)
-                train.unpersist()
-                valid.unpersist()
+            list(pool.map(score_fit, [(k, f) for k in range(folds) for f in fits]))
 
             features = Pipeline(stages=list(stages)).fit(data)
             whole = features.transform(data).persist(StorageLevel.MEMORY_AND_DISK)
 
             def refit(a: tuple[int, str]) -> dict:
                 order, name = a
-                own = [(sum(scores[n, i]) / max(1, len(scores[n, i])), -i, p) for n, i, p in points if n == name]
+                own = [(sum(scores[n, i][k] for k in sorted(scores[n, i])) / max(1, len(scores[n, i])), -i, p) for n, i, p in points if n == name]
                 cv_f1, _, best = max(own, key=lambda x: x[:2])  # the earlier grid point on ties
                 fitted = estimators[name].fit(whole, best)
                 m = weighted_metrics(fitted.transform(whole), label_col).first()
@@ -174,4 +217,6 @@ def train_select(
     params = {p.name: v for p, v in model.stages[-1].extractParamMap().items()}
     metrics = {"f1": best["f1"], "precision": best["weighted_precision"], "recall": best["weighted_recall"]}
     results = [{k: v for k, v in r.items() if not k.startswith("_")} for r in runs]
-    return TrainResult(best["algorithm"], model, metrics, params, importances, results)
+    spelt = lambda p: ",".join(f"{k.name}={v}" for k, v in sorted(p.items(), key=lambda x: x[0].name))
+    grid = [(n, i, spelt(p), k, float(f1)) for n, i, p in points for k, f1 in sorted(scores[n, i].items())]
+    return TrainResult(best["algorithm"], model, metrics, params, importances, results, grid)

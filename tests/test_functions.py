@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabforge import functions as fn
 from tabforge.operators.columns import normalize_name
 
-from conftest import one_col
+from tests.conftest import one_col
 
 
 def apply(spark, values, expr_fn, dtype="string"):
