@@ -1,7 +1,7 @@
 """Safe type coercions: text that does not parse becomes null, never an error.
 
-All are built-in expressions (``regexp_extract``, ``try_cast``,
-``try_to_timestamp``), so ANSI mode never raises and nothing leaves the JVM.
+All are built-in expressions (one regular expression and ``try_cast``), so
+ANSI mode never raises and nothing leaves the JVM.
 """
 
 from __future__ import annotations
@@ -71,40 +71,70 @@ def safe_long(c: Column | str) -> Column:
 
 _TIME = r"(?:[ T]([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:\.([0-9]{1,6})[0-9]*)?)?)?"
 _MONTH = r"(Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
-#: Date layouts in the order they are tried, with the groups of year, month and day (None: the first). Numbers
-#: are read month first and, where that gives no date, day first.
+#: Date layouts with the groups of year, month and day (None: the first). Each text has one of these shapes at most; numbers
+#: with the year last are read month first and, where that gives no date, day first.
 _DATES = [
     (r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})", 1, 2, 3), (r"([0-9]{4})([0-9]{2})([0-9]{2})", 1, 2, 3),
-    (r"([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-9]{4}|[0-9]{2})", 4, 1, 3), (r"([0-9]{1,2})([-/.])([0-9]{1,2})\2([0-9]{4}|[0-9]{2})", 4, 3, 1),
+    (r"([0-9]{1,2})([-/.])([0-9]{1,2})\{sep}([0-9]{4}|[0-9]{2})", 4, 1, 3),
     (rf"([0-9]{{1,2}})[ -]{_MONTH}[ -]([0-9]{{4}})", 3, 2, 1), (rf"{_MONTH}[ -]([0-9]{{1,2}}),?[ -]([0-9]{{4}})", 3, 1, 2),
     (rf"{_MONTH}[ -]([0-9]{{4}})", 2, 1, None), (r"([0-9]{4})", 1, None, None),
 ]
+_READ = "\u0001"
 
 
-def safe_timestamp(c: Column | str) -> Column:
-    """Text → timestamp_ntz, the first layout that gives a date; none → null.
+def _date_pattern() -> tuple[str, str]:
+    """One pattern of all layouts, and what a match is replaced by: year, month, day, hour, minute, second, fraction, order.
+
+    Of a field's groups in the different layouts one takes part in a match, so
+    that they can stand side by side in the replacement.
+    """
+    shapes, fields, before = [], {"year": "", "month": "", "day": "", "order": ""}, 0
+    for shape, year, month, day in _DATES:
+        if "{sep}" in shape:
+            fields["order"] += f"${before + 2}"
+            shape = shape.replace("{sep}", str(before + 2))
+        for field, group in (("year", year), ("month", month), ("day", day)):
+            if group:
+                fields[field] += f"${before + group}"
+        shapes.append(shape)
+        before += re.compile(shape.replace(f"\\{before + 2}", "")).groups
+    time = [f"${before + i}" for i in range(1, 5)]
+    return f"(?i)^(?:{'|'.join(shapes)}){_TIME}$", _READ + "|".join([fields["year"], fields["month"], fields["day"], *time, fields["order"]])
+
+
+_DATE_PATTERN, _DATE_PARTS = _date_pattern()
 
-    A text's date and time are rearranged into ISO form, which is cast without
-    any time zone, so the result does not depend on the session's. Blanks around
-    the text, one- or two-digit months and days, month names, two-digit years
-    (69 and later: 1900s) and times to the microsecond are read. A bare number
-    is a date only as ``yyyymmdd`` or ``yyyy``.
+
+def _once(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def safe_timestamp(c: Column | str) -> Column:
+    """Text → timestamp_ntz by the layout that it has; none, or no such date → null.
+
+    All layouts are one pattern, matched once: the match is replaced by its
+    parts, which are put into ISO form and cast without any time zone, so the
+    result does not depend on the session's. Blanks around the text, one- or
+    two-digit months and days, month names, two-digit years (69 and later:
+    1900s) and times to the microsecond are read. A bare number is a date only
+    as ``yyyymmdd`` or ``yyyy``.
     """
     c = F.btrim(_col(c).cast("string"), F.lit(" \t\n\x0b\f\r"))
-    tries = []
-    for date, year, month, day in _DATES:
-        pattern = f"(?i)^{date}{_TIME}$"
-        groups = re.compile(pattern).groups
-        part = lambda i, p=pattern: F.regexp_extract(c, p, i)
-        y, m = part(year), part(month) if month else F.lit("1")
-        y = F.when(F.length(y) == 2, F.concat(F.when(y >= "69", F.lit("19")).otherwise(F.lit("20")), y)).otherwise(y)
-        if _MONTH in date and month:
-            m = ((F.position(F.lower(F.substring(m, 1, 3)), F.lit("janfebmaraprmayjunjulaugsepoctnovdec")) + 2) / 3).cast("int").cast("string")
-        hour, minute, second, fraction = (part(groups - 3 + i) for i in range(4))
-        zero = lambda x: F.when(x == "", F.lit("0")).otherwise(x)
-        iso = F.concat(F.concat_ws("-", y, m, part(day) if day else F.lit("1")), F.lit(" "), F.concat_ws(":", zero(hour), zero(minute), zero(second)), F.lit("."), zero(fraction))
-        tries.append(F.when(c.rlike(pattern), iso.try_cast("timestamp_ntz")))
-    return F.coalesce(*tries)
+
+    def read(parts: Column) -> Column:
+        part = [F.get(parts, F.lit(i)) for i in range(8)]
+        year, month, day, hour, minute, second, fraction, order = part
+        full = lambda x, missing: F.when(x == "", F.lit(missing)).otherwise(x)
+        year = F.when(F.length(year) == 2, F.concat(F.when(year >= "69", F.lit("19")).otherwise(F.lit("20")), year)).otherwise(year)
+        named = ((F.position(F.lower(F.substring(month, 1, 3)), F.lit("janfebmaraprmayjunjulaugsepoctnovdec")) + 2) / 3).cast("int").cast("string")
+        month = F.when(month >= "A", named).otherwise(full(month, "1"))
+        time = F.concat(F.lit(" "), F.concat_ws(":", full(hour, "0"), full(minute, "0"), full(second, "0")), F.lit("."), full(fraction, "0"))
+        date = lambda m, d: F.concat(F.concat_ws("-", year, m, d), time).try_cast("timestamp_ntz")
+        return F.coalesce(date(month, full(day, "1")), F.when(order != "", date(day, month)))
+
+    told = F.regexp_replace(c, _DATE_PATTERN, _DATE_PARTS)
+    return _once(told, lambda t: F.when(t.startswith(_READ), _once(F.split(F.substring(t, 2, 99), r"\|", -1), read)))
 
 
 def safe_boolean(c: Column | str, true_values: Sequence[str] = ("true", "yes", "1")) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +28,26 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
+def header_lines(spark: SparkSession, paths: Sequence[str], options: dict[str, str]) -> DataFrame:
+    """(path, header, own): the first line with text of every file that has one, found in one job.
+
+    Lines come from the first block of a file, in order, so the smallest row
+    number of a file's lines is its header's; a file adds one row to the
+    shuffle for each task that reads it. ``own`` is the path where the line
+    alone does not tell the header (a quoted cell that goes on in the next line,
+    an encoding other than UTF-8), else empty.
+    """
+    lines = spark.read.options(**{k: v for k, v in options.items() if k in ("lineSep", "pathGlobFilter", "recursiveFileLookup")}).text(list(paths))
+    lines = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("row"))
+    lines = lines.where((F.col("block") == 0) & (F.btrim("value", F.lit(" \t\r\n\ufeff")) != ""))
+    first = lines.groupBy("path").agg(F.min_by("value", "row").alias("header"))
+    plain = F.lit(options.get("encoding", options.get("charset", "UTF-8")).upper() in ("UTF-8", "US-ASCII"))
+    quotes = F.length(F.regexp_replace("header", r'[^"]', ""))
+    # File names come with percent signs; a plus is a plus.
+    path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    return first.select(path.alias("path"), "header", F.when(plain & (quotes % 2 == 0), "").otherwise(path).alias("own"))
+
+
 def read_text_table(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -44,9 +63,10 @@ def read_text_table(
     columns differently; a column that some files lack is null there. ``header``
     picks columns (a missing one is an error). A row with more or fewer cells
     than its header fails the read, or, with ``bad_rows="keep"``, is returned
-    with its text in ``_corrupt_record``; nothing is cut off silently. Reading
-    the headers takes one short job a file. Files are split by block, so a scan
-    grows with the input; quoted cells with line breaks need
+    with its text in ``_corrupt_record``; nothing is cut off silently. One job
+    over the lines finds the headers (:func:`header_lines`); the driver gets a
+    row for each different header, and paths only if there are several. Files
+    are split by block, so a scan grows with the input; quoted cells with line breaks need
     ``options={"multiLine": "true"}``, which reads each file in one task. Blank
     headers come back as ``_cN`` (dropped by
     :func:`tabforge.operators.columns.drop_unnamed`).
@@ -58,12 +78,18 @@ def read_text_table(
         return out.options(**(options or {}))
 
     paths = [to_hadoop_uri(path)] if isinstance(path, str) else [to_hadoop_uri(p) for p in path]
-    files = sorted(r.path for r in spark.read.format("binaryFile").load(paths).select("path").collect())
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(lambda f: tuple(reader().load(f).columns), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
+    lines = header_lines(spark, paths, options or {}).persist()
+    try:
+        found = lines.groupBy("header", "own").agg(F.min("path").alias("path"), F.count(F.lit(1)).alias("files")).orderBy("path").collect()
+        named = {(r["header"], r["own"]): tuple(reader().load(r["path"]).columns) for r in found}
+        if len(set(named.values())) == 1:
+            groups[next(iter(named.values()))] = paths
+        elif found:
+            for r in lines.orderBy("path").collect():
+                groups.setdefault(named[r["header"], r["own"]], []).append(r["path"])
+    finally:
+        lines.unpersist()
     scans = []
     for names, members in groups.items():
         if not names:  # an empty file

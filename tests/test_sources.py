@@ -78,3 +78,48 @@ def test_records_reach_the_scoring_input(spark):
     records = [{"age": "40", "gender": "M"}, {"age": "NaN", "gender": "F"}, {"age": "1d", "gender": "F"}, {"gender": None}]
     got = scoring_input(records_frame(spark, records, "age string, gender string"), ["age"], ["gender"]).collect()
     assert [(r.age, r.input_error) for r in got] == [(40.0, None), (None, "age"), (None, "age"), (None, "age,gender")]
+
+
+def test_headers_of_ten_thousand_files_in_one_job(spark, tmp_path):
+    for i in range(10_000):
+        name = f"part {i:05d}+%2B.csv" if i % 1000 == 0 else f"part{i:05d}.csv"
+        text = f"id,age\n{i},{i % 90}\n" if i % 3 else f"\nage,id,extra\n{i % 90},{i},x\n"
+        (tmp_path / name).write_text(text if i % 500 != 7 else "")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        df = read_text_table(spark, str(tmp_path / "*.csv"))
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 20
+    got = df.agg(F.count(F.lit(1)), F.sum(F.col("id").cast("long")), F.sum((F.col("age").cast("long") == F.col("id").cast("long") % 90).cast("int")), F.count("extra")).first()
+    kept = [i for i in range(10_000) if i % 500 != 7]
+    assert tuple(got) == (len(kept), sum(kept), len(kept), sum(i % 3 == 0 for i in kept))
+
+
+def test_one_header_needs_no_paths_and_odd_headers_are_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"id","a,b"\n1,x\n')
+    (tmp_path / "b.csv").write_text('id,"a,b"\n2,y\n')  # spelt otherwise, the same header
+    (tmp_path / "c.csv").write_text("")
+    df = read_text_table(spark, str(tmp_path))
+    assert df.columns == ["id", "a,b"] and sorted(map(tuple, df.collect())) == [("1", "x"), ("2", "y")]
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "a.csv").write_text('id,"two\nlines"\n1,x\n')
+    (lines / "b.csv").write_text('id,"two\nother"\n2,y\n')
+    df = read_text_table(spark, str(lines), options={"multiLine": "true"})
+    assert sorted(df.columns) == ["id", "two\nlines", "two\nother"] and df.count() == 2
+    with pytest.raises(ValueError, match="no table"):
+        read_text_table(spark, str(tmp_path / "c.csv"))
+
+
+def test_header_of_a_file_of_many_blocks(spark, tmp_path):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "big.csv").write_text("id,note\n" + "".join(f"{i},{'n' * 50}\n" for i in range(20_000)))
+    (tmp_path / "small.csv").write_text("note,id\nz,-1\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = read_text_table(spark, str(tmp_path))
+        assert df.select(F.sum(F.col("id").cast("long")), F.count(F.lit(1))).first() == (sum(range(20_000)) - 1, 20_001)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
