@@ -27,7 +27,8 @@ TITLES_X = "Dr|Prof|Mx"
 LATIN, ACCENTED, CYRILLIC, GREEK = "abcdefghijklmnopqrstuvwxyz", "àâäçéèêëíîïñóôöùûüß", "абвгдежзийклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω"
 NAME_ENDS = {"m": {"latin": "o", "cyrillic": "н"}, "f": {"latin": "a", "cyrillic": "а"}}
 PATTERNS = {
-    "email": r"(?<![\p{L}0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # A domain has 127 labels at most; a loop without a bound would take a stack frame of Java for each.
+    "email": r"(?<![\p{L}0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:(?<![\p{L}0-9_])(?:password|passwd|pwd|secret|token|api_?key)\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_-]{8,}=*",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",

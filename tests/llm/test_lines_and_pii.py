@@ -2,6 +2,9 @@ import itertools
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from tabforge.llm import line_dedup, pii_surrogates
 from tests.llm.conftest import CLASHING, ODD
 
@@ -129,3 +132,12 @@ def test_surrogates_are_not_real_entities_on_the_small_table(spark, sf_small):
     found = lambda df: {x for r in df.collect() for x in re.findall(r"[\w.]+@[\w.]+|(?<!\d)\d{16}(?!\d)|AKIA\w{16}|\d+\.\d+\.\d+\.\d+", r.text or "")}
     before, after = found(docs), found(pii_surrogates.op2_pii_surrogates(spark, sf_small))
     assert before and len(before) == len(after) and not before & after
+
+
+@pytest.mark.parametrize("hostile", [
+    "a@" + "b." * 100_000 + "com", "a@" + "b-c." * 50_000, "a." * 100_000 + "@x", "+1 " + "22 " * 100_000, "AB12 " + "ABCD " * 50_000,
+    "Mr " + "A" + "b" * 200_000, "password = " + "x" * 200_000, "1.2.3." * 50_000, "(12) " * 50_000, "1234 " * 50_000])
+def test_hostile_texts_end_without_a_crash(spark, hostile):
+    rows = spark.createDataFrame([(hostile * 5,), ("mail a.b@mail.example.co.uk now",)], "text string").coalesce(1)
+    found = rows.select(F.size(F.regexp_extract_all("text", F.lit(pii_surrogates.FOUND), 0)).alias("n")).collect()
+    assert found[1].n == 1
