@@ -16,14 +16,14 @@ SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 LAST_ID = (1 << 63) - 1
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back.
+def written(df: DataFrame, kind: str, **options: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder, read back; ``options`` are the writer's.
 
     Cuts the lineage: a lost executor costs a reread, never a recomputation of
     what came before.
     """
     path = scratch_path(df.sparkSession, f"llm-{kind}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -125,7 +125,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: str) -> DataFrame:
     return flat.select("source", "shard", (last - F.col("n")).alias("first"), last.alias("last"))
 
 
-def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix", table_options: dict[str, str] | None = None) -> DataFrame:
     """What the mix takes of each row of ``docs`` (doc_id, source, size, and any column ``in``, which stays).
 
     Adds source_size, target, taken (words) and draws: a list of (shard, place,
@@ -133,7 +133,8 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[i
     it. The row where a source's target ends gives only part of its words. Null
     or zero sizes take nothing. Rows that repeat are drawn independently but for
     their order, which is by doc_id and size. The result depends on the rows and
-    the seed only, not on partitions.
+    the seed only, not on partitions. ``table_options`` are for the writer of
+    the table that holds the rows meanwhile.
     """
     src = F.col("source")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
@@ -142,7 +143,7 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[i
     # Blocks in permuted order, with the words before each of them.
     per_source = sizes.select(src.alias("s_name"), "docs", "source_size", "target")
     block = F.pmod(draw(seed + "-block", F.col("doc_id")), F.least(F.ceil(F.col("docs") / BLOCK_DOCS), F.lit(MAX_BLOCKS)))
-    dealt = written(docs.join(per_source, src.eqNullSafe(F.col("s_name"))).withColumn("block", block).drop("s_name", "docs"), "mix-dealt")
+    dealt = written(docs.join(per_source, src.eqNullSafe(F.col("s_name"))).withColumn("block", block).drop("s_name", "docs"), "mix-dealt", **(table_options or {}))
     blocks = dealt.groupBy("source", "block", "source_size", "target").agg(F.sum("size").alias("words"))
     permuted = W.partitionBy("source").orderBy(draw(seed + "-order", src, F.col("block")), "block")
     blocks = blocks.withColumn("before", F.sum("words").over(permuted) - F.col("words")).withColumn("position", F.row_number().over(permuted) - 1)
@@ -191,7 +192,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     columns stay, whatever their names.
     """
     size = F.size(words(text_of("text"))).cast("long")
-    drawn = mix(docs.select("doc_id", "source", size.alias("size"), F.struct("*").alias("in")), **options).withColumn("d", F.explode("draws"))
+    drawn = mix(docs.select("doc_id", "source", size.alias("size"), F.struct("*").alias("in")), table_options={"compression": "zstd"}, **options).withColumn("d", F.explode("draws"))
     cut = F.col("d.words") < F.col("size")
     text = F.when(cut, F.array_join(F.slice(words(text_of("in.text")), F.lit(1), F.col("d.words").cast("int")), " ")).otherwise(F.col("in.text"))
     drawn = drawn.select("in", "doc_id", "d", text.alias("text"), cut.alias("cut")).repartition("d.shard").sortWithinPartitions("d.shard", "d.place", "doc_id")
