@@ -9,7 +9,8 @@ come from the whole training corpus. The tree is cut below the two nearest bytes
 of a context: subtrees are worked out apart, the levels above by one aggregation
 a level towards the root and one join a level back.
 
-Texts are counted and scored in blocks of neighbouring rows: a block asks the
+Texts are counted and scored in blocks of neighbouring rows, cut by bytes of text
+whatever the scan's splits are: a block asks the
 tree for the byte strings it has, each once, in sorted compressed lists, so what
 moves is far less than a row for each place in the text.
 """
@@ -30,8 +31,10 @@ from tabforge.llm.textbytes import Words, is_space, lowered, mixed, text_chunks
 
 #: Bytes of the longest context. A context and the byte after it fit into one long.
 DEPTH = 5
-#: Bytes of input files that make a block; a block's distinct strings grow much slower than its text.
-BLOCK_BYTES = 32 << 20
+#: Bytes of input files that a task reads at least.
+TASK_BYTES = 32 << 20
+#: Bytes of text that make a block, whatever a task reads; a longer text is a block of its own. A group of the exchanges holds one block.
+BLOCK_BYTES = 16 << 20
 #: The byte that ends a text; it stands before a text's first byte as well.
 END = 10
 #: Stands for the end token among the hashes of words.
@@ -64,23 +67,23 @@ def strings(sym: np.ndarray, begin: np.ndarray, depth: int) -> np.ndarray:
 
 
 class Tally:
-    """Counts by key, merged whenever the list of additions has grown large."""
+    """Counts by key, merged whenever the additions outnumber what is merged already."""
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = 0
+        self.size, self.limit = 0, 500_000
 
     def add(self, keys: np.ndarray, train: np.ndarray) -> None:
         keys, at = np.unique(keys, return_inverse=True)
         self.parts.append((keys, np.bincount(at, train, len(keys)).astype(np.int64)))
         self.size += len(keys)
-        if self.size > 500_000:
+        if self.size > self.limit:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         keys, at = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
         counts = np.bincount(at, np.concatenate([c for _, c in self.parts]), len(keys)).astype(np.int64)
-        self.parts, self.size = [(keys, counts)], 0
+        self.parts, self.size, self.limit = [(keys, counts)], 0, max(500_000, len(keys))
         return keys, counts
 
 
@@ -107,43 +110,52 @@ def parts_of(keys: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(part[order[a]]), order[a:b]
 
 
-KEYS = pa.schema([("kind", pa.string()), ("block", pa.int32()), ("part", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), ("counts", pa.binary()),
+KEYS = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), ("counts", pa.binary()),
                   ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64()))])
 
 
-def in_blocks(docs: DataFrame, depth: int, bits: int) -> DataFrame:
-    """The texts of each partition of ``docs`` as compressed byte sequences, and what it asks for.
+def in_blocks(docs: DataFrame, depth: int, bits: int, block_bytes: int) -> DataFrame:
+    """The texts of ``docs`` in blocks, as compressed byte sequences, and what each block asks for.
 
     Rows of kind ``text`` hold some texts, with their ids, train flags and
     sizes; rows of kind ``string`` and ``word`` hold, for one part of the key
-    space, the partition's distinct keys and how often training rows have them
-    (0: only other rows do).
+    space, the block's distinct keys and how often training rows have them
+    (0: only other rows do). A partition's rows are cut into blocks as they
+    come, so that no more than a block is ever held.
     """
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId()
+        block, filled = TaskContext.get().partitionId() << 32, 0
         asked = {"string": Tally(), "word": Tally()}
 
         def row(kind: str, part: int, n: int, body: bytes, counts=None, ids=None, train=None, sizes=None) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((kind, block, part, n, body, counts, ids, train, sizes), KEYS)], schema=KEYS)
 
+        def closed() -> Iterator[pa.RecordBatch]:
+            for kind in asked:
+                t, asked[kind] = asked[kind], Tally()
+                keys, counts = t.merge() if t.parts else (np.zeros(0, np.uint64),) * 2
+                for part, at in parts_of(keys, bits) if len(keys) else ():
+                    yield row(kind, part, len(at), sealed(keys[at], True), sealed(counts[at]))
+            pa.default_memory_pool().release_unused()
+
         for batch in batches:
             ids, train = batch.column("doc_id").to_pylist(), batch.column("train").to_numpy(zero_copy_only=False)
             for first, end, raw, ends in text_chunks(batch.column("text")):
                 sym, begin = symbols(lowered(raw), ends)
+                if filled and filled + len(sym) > block_bytes:
+                    yield from closed()
+                    block, filled = block + 1, 0
+                filled += len(sym)
                 own, size = train[first:end], np.diff(begin)
                 yield row("text", 0, len(sym), pa.compress(sym.tobytes(), "zstd", asbytes=True), None, ids[first:end], own.tolist(), size.tolist())
                 asked["string"].add(strings(sym, begin, depth).view(np.uint64), np.repeat(own, size))
                 w = Words(sym, begin[1:])
                 asked["word"].add(np.concatenate([w.hash, np.full(end - first, END_TOKEN, np.uint64)]), np.concatenate([np.repeat(own, np.diff(w.of)), own]))
-        for kind in list(asked):
-            t = asked.pop(kind)
-            keys, counts = t.merge() if t.parts else (np.zeros(0, np.uint64),) * 2
-            for part, at in parts_of(keys, bits) if len(keys) else ():
-                yield row(kind, part, len(at), sealed(keys[at], True), sealed(counts[at]))
+        yield from closed()
 
     return docs.select("doc_id", "train", "text").mapInArrow(
-        tally, "kind string, block int, part long, n long, body binary, counts binary, ids array<long>, train array<boolean>, sizes array<long>")
+        tally, "kind string, block long, part long, n long, body binary, counts binary, ids array<long>, train array<boolean>, sizes array<long>")
 
 
 def gathered(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -157,7 +169,7 @@ def gathered(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]
     return keys, total, np.split(at, np.cumsum([len(x) for x in lists])[:-1])
 
 
-ANSWER = "kind string, block int, part long, n long, body binary, value binary"
+ANSWER = "kind string, block long, part long, n long, body binary, value binary"
 
 
 def answers(asked: pa.Table, keys: np.ndarray, values: np.ndarray, places: list[np.ndarray]) -> pa.Table:
@@ -277,7 +289,7 @@ def byte_size(setting: str) -> int:
     return int(digits) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
-def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, train): what the model and a word-count baseline make of it.
 
     n_tokens (words and the end), n_known (tokens that training rows have),
@@ -285,21 +297,21 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     of the text by the tree), n_bytes and bits_per_byte. The model is that of
     the training rows, whichever row is scored. Null text is empty: its only
     token is the end. Without training rows every bit has probability one half.
-    Repeated rows are counted and scored each.
+    Repeated rows are counted and scored each. Scores don't depend on ``block_bytes``.
     """
     spark = docs.sparkSession
     parts = docs.rdd.getNumPartitions()  # of the scan; nothing runs
     split = byte_size(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    blocks = max(1, min(parts, max(2 * spark.sparkContext.defaultParallelism, -(-parts * split // BLOCK_BYTES))))
-    bits = max(4, (2 * blocks - 1).bit_length())
-    held = written(in_blocks(docs.coalesce(blocks), depth, bits), "lm-blocks")
+    tasks = max(1, min(parts, max(2 * spark.sparkContext.defaultParallelism, -(-parts * split // TASK_BYTES))))
+    bits = max(4, (4 * tasks - 1).bit_length())
+    held = written(in_blocks(docs.coalesce(tasks), depth, bits, block_bytes), "lm-blocks")
     asked = held.where("kind <> 'text'").select("kind", "block", "part", "n", "body", "counts")
 
     # Words: their counts go straight back to the blocks.
     def word_counts(rows: pa.Table) -> pa.Table:
         keys, total, places = gathered(rows)
         out = answers(rows, keys, total, places)
-        sums = pa.table({"kind": ["sums"], "block": pa.array([-1], pa.int32()), "part": pa.array([int((total > 0).sum())], pa.int64()),
+        sums = pa.table({"kind": ["sums"], "block": pa.array([-1], pa.int64()), "part": pa.array([int((total > 0).sum())], pa.int64()),
                          "n": pa.array([int(total.sum())], pa.int64()), "body": pa.array([None], pa.binary()), "value": pa.array([None], pa.binary())})
         return pa.concat_tables([out.cast(sums.schema), sums])
 
@@ -314,7 +326,7 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     strung = asked.where("kind = 'string'")
     counts = written(strung.groupBy("part").applyInArrow(string_counts, "part long, key long, n long"), "lm-counts")
-    lengths = weighted_tree(counts, depth, 2 * blocks)
+    lengths = weighted_tree(counts, depth, 4 * tasks)
 
     def string_lengths(rows: pa.Table, tree: pa.Table) -> pa.Table:
         keys, _, places = gathered(rows)

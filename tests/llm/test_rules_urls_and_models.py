@@ -184,9 +184,10 @@ def base_by_hand(train, tests):
     return [(len(tokens(t)) + 1, sum(count[x] > 0 for x in [*tokens(t), "\n"]), n, sum(math.log10((count[x] + 1) / (n + v + 1)) for x in [*tokens(t), "\n"])) for t in tests]
 
 
-def test_context_tree_by_hand(spark):
+@pytest.mark.parametrize("block_bytes", [1, 30, 1 << 20])
+def test_context_tree_by_hand(spark, block_bytes):
     rows = [(1, "The cat sat on the mat", True), (2, "the cat  ate\tthe rat", True), (3, "a new xyzzy cat ü", False), (4, None, False), (5, "", True), (5, "", True), (None, "cat", False)]
-    got = context_tree.score(spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3), depth=3).collect()
+    got = context_tree.score(spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3), depth=3, block_bytes=block_bytes).collect()
     train, tests = [t for _, t, k in rows if k], [t for _, t, _ in rows]
     want = sorted((str(r[0]), s, *b) for r, s, b in zip(rows, tree_by_hand(train, tests, 3), base_by_hand(train, tests)))
     for g, w in zip(sorted((str(r.doc_id), r.score, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got), want, strict=True):
