@@ -7,7 +7,8 @@ Layout below a root folder (normally in the cluster's shared folder):
 ``run_metrics``     run_id, metric, value
 ``run_importances`` run_id, feature, importance, rank
 ``model_registry``  name, version, registered_at, run_id, model_path
-``model_versions/name=<name>/<n>``  one empty file for every version that was claimed
+``model_versions/name=<name>/tickets``   one empty file for every version that was claimed
+``model_versions/name=<name>/entering``  one for every caller who is about to claim one
 ``models/<run_id>/<artifact>``  the saved ``PipelineModel``
 
 A run's rows are a folder ``entry=<id>`` of each table; tables hold a few rows per run.
@@ -16,6 +17,7 @@ A run's rows are a folder ``entry=<id>`` of each table; tables hold a few rows p
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tabforge.config import LABEL_COLUMN, MODEL_ARTIFACT
-from tabforge.operators.aggregates import latest_per_group, next_versions
+from tabforge.operators.aggregates import latest_per_group
 from tabforge.operators.train import TrainResult
 from tabforge.session import join_path
 
@@ -105,27 +107,67 @@ def registry(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "model_registry", REGISTRY_SCHEMA).select("name", "version", "registered_at", "run_id", "model_path")
 
 
-def _claim(spark: SparkSession, root: str, name: str, version: int) -> bool:
-    """Create the file of one version unless it exists: of several callers one succeeds."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(join_path(root, "model_versions", f"name={name}", str(version)))
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(path.getParent())
-    return files.createNewFile(path)
+class _Folder:
+    """Empty files below a folder: create one under a name of its own, delete one, list them.
+
+    No more is asked of the file system than that a listing shows what was
+    written before it: neither an atomic create nor a rename, which object
+    stores lack.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.hadoop, self.path = spark._jvm.org.apache.hadoop.fs, path
+        self.files = self.hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.files.mkdirs(self.hadoop.Path(path))
+
+    def create(self, name: str) -> None:
+        self.files.create(self.hadoop.Path(join_path(self.path, name)), True).close()
+
+    def delete(self, name: str) -> None:
+        self.files.delete(self.hadoop.Path(join_path(self.path, name)), False)
+
+    def names(self) -> set[str]:
+        return {f.getPath().getName() for f in self.files.listStatus(self.hadoop.Path(self.path)) if f.isFile()}
+
+
+def claim_version(tickets, entering, patience: float = 60.0, pause: float = 0.05) -> int:
+    """The next version of a name, a different one for each caller and without gaps.
+
+    A caller marks its entrance, takes a ticket numbered above all it can see
+    (two may take the same number; their random names decide) and removes the
+    mark. Whoever was still entering then may get a lower ticket and is waited
+    for; whoever enters later gets a higher one. So the tickets below its own
+    are final, and their number plus one is the version (Lamport's bakery).
+
+    A caller that dies between its two files leaves its mark, as its ticket may
+    yet appear: others then stop after ``patience`` seconds with an error that
+    names the mark, which may be deleted once its writer is known to be gone.
+    """
+    own = uuid.uuid4().hex
+    entering.create(own)
+    number = max((int(t.split("-")[0]) for t in tickets.names()), default=0) + 1
+    ticket = f"{number:012d}-{own}"
+    tickets.create(ticket)
+    entering.delete(own)
+    waiting, until = entering.names(), time.monotonic() + patience
+    while waiting := waiting & entering.names():
+        if time.monotonic() > until:
+            raise TimeoutError(f"callers still entering: {sorted(waiting)} in {entering.path}")
+        time.sleep(pause)
+    return sum(t <= ticket for t in tickets.names())
 
 
 def register_model(spark: SparkSession, root: str, name: str, run_id: str, model_path: str,
                    registered_at: dt.datetime | None = None) -> int:
     """Append a registration of ``name``; returns its version.
 
-    The version is the highest registered one plus one, or the next that nobody
-    has claimed meanwhile; once claimed it never changes, whatever its time
-    stamp and whoever registers at the same moment.
+    Versions count up from 1 in the order of their claims; once claimed a
+    version never changes, whatever its time stamp and whoever registers at the
+    same moment (``claim_version``). A run that dies between its claim and its
+    row leaves its version unused.
     """
-    wanted = spark.createDataFrame([(name,)], "name string")
-    version = int(next_versions(wanted, registry(spark, root), "name").first()["next_version"])
-    while not _claim(spark, root, name, version):
-        version += 1
+    at = join_path(root, "model_versions", f"name={name}")
+    version = claim_version(_Folder(spark, join_path(at, "tickets")), _Folder(spark, join_path(at, "entering")))
     row = spark.createDataFrame([(name, version, registered_at or utc_now(), run_id, model_path)], REGISTRY_SCHEMA)
     _append(row, root, "model_registry", uuid.uuid4().hex)
     return version

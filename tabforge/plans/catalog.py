@@ -18,6 +18,7 @@ from tabforge.operators import aggregates as agg
 from tabforge.operators import columns as cols
 from tabforge.operators import features as feat
 from tabforge.operators import filters as flt
+from tabforge.operators.category_index import category_index, indexed
 from tabforge.operators.metrics import weighted_metrics
 from tabforge.plans import bindings as b
 from tabforge.plans import oracle as o
@@ -403,7 +404,7 @@ SELECT c_custkey, c_mktsegment,
 FROM customer""")
 def index_alpha_desc(spark, sf_dir):
     c = _t(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    return feat.alpha_desc_indexer("c_mktsegment").fit(c).transform(c)
+    return indexed(c, "c_mktsegment", category_index(c, "c_mktsegment", "alphabet_desc"))
 
 
 _FREQ_RANK = """ranked AS (SELECT event_type, CAST(row_number() OVER (ORDER BY n DESC, event_type) - 1 AS DOUBLE) AS idx
@@ -414,7 +415,7 @@ _FREQ_RANK = """ranked AS (SELECT event_type, CAST(row_number() OVER (ORDER BY n
 SELECT e.event_id, e.event_type, r.idx AS event_type_index FROM events e JOIN ranked r USING (event_type)""")
 def index_freq_desc(spark, sf_dir):
     e = _t(spark, sf_dir, "events", ["event_id", "event_type"])
-    return feat.freq_indexer("event_type").fit(e).transform(e)
+    return indexed(e, "event_type", category_index(e, "event_type", "frequency_desc"))
 
 
 @register("one_hot", f"""WITH {_FREQ_RANK}
