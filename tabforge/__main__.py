@@ -2,6 +2,7 @@
 
     python -m tabforge --input 's3a://bucket/sheets/*.csv' --prefix sheet \\
         [--base <dir>] [--runs <dir>] [--tuning grid.json] [--folds 5] [--seed 42]
+        [--journal <dir>]
 
 Reads the all-text records, writes the versioned snapshot, prepares the model
 table, runs the grid search, logs the run, and prints a one-line JSON summary.
@@ -33,13 +34,14 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--folds", type=int, default=5)
     ap.add_argument("--seed", type=int, default=42)
     ap.add_argument("--rel-error", type=float, default=0.05, help="quartile error (0 = exact)")
+    ap.add_argument("--journal", help="folder of finished steps: the same job started again goes on after them")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("tabforge").getOrCreate()
     root = shared_dir(spark)
     res = run_job(spark, args.input, args.base or join_path(root, "db"), args.prefix,
                   args.runs or join_path(root, "runs"), prepare_spec=PrepareSpec(rel_error=args.rel_error),
-                  tuning=load_json_config(args.tuning) if args.tuning else TUNING, folds=args.folds, seed=args.seed)
+                  tuning=load_json_config(args.tuning) if args.tuning else TUNING, folds=args.folds, seed=args.seed, journal=args.journal)
     summary = {"run_id": res.run_id, "algorithm": res.train.best_name, "metrics": res.train.metrics,
                "snapshot": res.tables["_dir"]}
     print(json.dumps(summary))

@@ -51,7 +51,7 @@ def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFr
 
 def _append(df: DataFrame, root: str, name: str, entry: str) -> None:
     """Rows of one run as a folder of its own, so that runs may write at the same time."""
-    df.coalesce(1).write.parquet(join_path(root, name, f"entry={entry}"))
+    df.coalesce(1).write.mode("overwrite").parquet(join_path(root, name, f"entry={entry}"))
 
 
 def utc_now() -> dt.datetime:
@@ -75,11 +75,13 @@ def log_run(
     features: Sequence[str] = (),
     artifact: str = MODEL_ARTIFACT,
     start_time: dt.datetime | None = None,
+    run_id: str | None = None,
 ) -> str:
     """Save the best model and append its run, parameter, metric, importance
     and registry rows. Returns the run id. ``start_time`` (UTC) is when the run
-    began, before its training; the latest run is the one that began last."""
-    run_id = uuid.uuid4().hex
+    began, before its training; the latest run is the one that began last.
+    Logging a ``run_id`` again replaces what it wrote and keeps its version."""
+    run_id = run_id or uuid.uuid4().hex
     start = start_time or utc_now()
     model_path = save_model(result.best_model, join_path(root, "models", run_id, artifact))
     run = spark.createDataFrame(
@@ -96,7 +98,9 @@ def log_run(
     }
     for name, df in tables.items():
         _append(df, root, name, run_id)
-    register_model(spark, root, f"{artifact}_{result.best_name}", run_id, model_path)
+    name = f"{artifact}_{result.best_name}"
+    if registry(spark, root).where((F.col("name") == name) & (F.col("run_id") == run_id)).isEmpty():
+        register_model(spark, root, name, run_id, model_path)
     # The run row goes last: a run is visible only once everything it names exists.
     _append(run, root, "runs", run_id)
     return run_id
