@@ -171,7 +171,8 @@ def register_model(spark: SparkSession, root: str, name: str, run_id: str, model
     row leaves its version unused.
     """
     at = join_path(root, "model_versions", f"name={name}")
-    version = claim_version(_Folder(spark, join_path(at, "tickets")), _Folder(spark, join_path(at, "entering")))
+    older = max((int(n) for n in _Folder(spark, at).names() if n.isdigit()), default=0)  # claims of the layout before tickets
+    version = older + claim_version(_Folder(spark, join_path(at, "tickets")), _Folder(spark, join_path(at, "entering")))
     row = spark.createDataFrame([(name, version, registered_at or utc_now(), run_id, model_path)], REGISTRY_SCHEMA)
     _append(row, root, "model_registry", uuid.uuid4().hex)
     return version

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
-from tabforge.operators.runs import _Folder, claim_version
+from tabforge.operators.runs import _Folder, claim_version, register_model
 
 
 class SlowStore:
@@ -64,3 +64,11 @@ def test_on_the_shared_file_system(spark, tmp_path):
     with ThreadPoolExecutor(8) as pool:
         got = list(pool.map(lambda _: claim_version(folder("tickets"), folder("entering")), range(16)))
     assert sorted(got) == list(range(1, 17))
+
+
+def test_versions_go_on_after_claims_of_the_older_layout(spark, tmp_path):
+    at = tmp_path / "model_versions" / "name=m"
+    at.mkdir(parents=True)
+    for n in ("1", "2"):
+        (at / n).touch()
+    assert [register_model(spark, str(tmp_path), "m", r, "/r") for r in "ab"] == [3, 4]
