@@ -192,3 +192,14 @@ def load_latest(spark: SparkSession, root: str, artifact: str = MODEL_ARTIFACT):
         raise FileNotFoundError(f"no run saved a model named {artifact!r} under {root}")
     feats = [f for f in (row["features"] or "").split(",") if f]
     return load_model(row["model_path"]), feats, row["target"], row["run_id"]
+
+
+def latest_version(spark: SparkSession, root: str, artifact: str = MODEL_ARTIFACT) -> tuple[str, str, int, str]:
+    """(run id, registered name, version, model path) of the latest run with ``artifact``; nothing is loaded."""
+    run = latest_run(read_table(spark, root, "runs", RUNS_SCHEMA), artifact).first()
+    if run is None:
+        raise FileNotFoundError(f"no run saved a model named {artifact!r} under {root}")
+    name = f"{artifact}_{run['algorithm']}"
+    # A run killed between its registration and its row registers again when it is logged again: the first one counts.
+    version = registry(spark, root).where((F.col("name") == name) & (F.col("run_id") == run["run_id"])).agg(F.min("version")).first()[0]
+    return run["run_id"], name, version, run["model_path"]

@@ -16,7 +16,7 @@ from tabforge.plans import bindings as b
 from tabforge.plans.prepare import model_columns, prepare, stages_for
 from tabforge.session import join_path, scratch_path
 from tabforge.sources.files import read_parquet
-from tabforge.streaming.score import start_scoring_stream
+from tabforge.streaming.score import start_scoring_stream, start_swapping_stream
 
 QUERIES: dict = {}
 
@@ -154,6 +154,32 @@ def stream_rule(spark, sf_dir):
     return spark.read.parquet(join_path(root, "scored"))
 
 
+def stream_model_swap(spark, sf_dir):
+    """A stream over two logged runs, stopped and started again between them.
+
+    The first run learns that English is accepted, the second that German is.
+    Requests of even ``doc_id`` come before the second run is logged, the others
+    after it; each is scored once, by the run that was the latest then. The
+    search is that of one classifier (all its grid, all folds): which model
+    serves a batch is the matter here, not which one wins.
+    """
+    root = scratch_path(spark, "streams")
+    tree = {"classification_models": ["DecisionTreeClassifier"], "hyperparameters": TUNING["hyperparameters"]}
+    requests = _poisoned(spark, sf_dir)
+    frame = b.doc_frame(spark, sf_dir)
+    for parity, accepted in ((0, "en"), (1, "de")):
+        ruled = frame.withColumn("response", F.when(F.col("lang") == accepted, "yes").otherwise("no"))
+        res = train_select(prepare(ruled, RULE_SPEC), stages_for(RULE_SPEC), tree, "response", folds=FOLDS, seed=SEED)
+        log_run(spark, join_path(root, "runs"), res, "response", model_columns(RULE_SPEC))
+        requests.where(F.pmod("doc_id", F.lit(2)) == parity).repartition(2).write.mode("append").parquet(join_path(root, "requests"))
+        q = start_swapping_stream(spark, join_path(root, "runs"), join_path(root, "requests"), requests.schema, join_path(root, "scored"),
+                                  join_path(root, "checkpoint"), NUMERIC, TEXT, keep=["doc_id"], max_files_per_trigger=1)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(join_path(root, "scored")).select("doc_id", "input_error", "response", "model_name", "model_version")
+
+
 _RULE_SCORES = """
 WITH r AS (SELECT doc_id, CASE WHEN doc_id % 29 = 0 THEN 'xx' ELSE lang END AS lang,
                   doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 AS bad FROM documents),
@@ -165,12 +191,15 @@ ORACLE_SQL = {
        'lang' AS top_feature, 1.0::DOUBLE AS importance FROM documents WHERE lang = 'en' GROUP BY lang""",
     "score_rule": _RULE_SCORES,
     "stream_rule": _RULE_SCORES,
+    "stream_model_swap": _RULE_SCORES.replace("SELECT doc_id, nullif", "SELECT doc_id, 1 + doc_id % 2 AS model_version, 'Best_response_model_DecisionTreeClassifier' AS model_name, nullif")
+                                     .replace("WHEN lang = 'en' THEN", "WHEN lang = CASE WHEN doc_id % 2 = 0 THEN 'en' ELSE 'de' END THEN"),
 }
 
 QUERIES.update({
     "train_rule_select": train_rule_select,
     "score_rule": score_rule,
     "stream_rule": stream_rule,
+    "stream_model_swap": stream_model_swap,
     "train_select_best": train_select_best,
     "feature_importance": feature_importance,
     "save_load_score": save_load_score,
