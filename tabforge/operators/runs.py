@@ -12,6 +12,7 @@ Layout below a root folder (normally in the cluster's shared folder):
 ``models/<run_id>/<artifact>``  the saved ``PipelineModel``
 
 A run's rows are a folder ``entry=<id>`` of each table; tables hold a few rows per run.
+:func:`compact_runs` merges the folders of many runs (:mod:`tabforge.operators.run_log`).
 """
 
 from __future__ import annotations
@@ -24,29 +25,21 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tabforge.config import LABEL_COLUMN, MODEL_ARTIFACT
 from tabforge.operators.aggregates import latest_per_group
+from tabforge.operators.run_log import compact_table, read_table
 from tabforge.operators.train import TrainResult
 from tabforge.session import join_path
 
 RUNS_SCHEMA = ("run_id string, start_time timestamp_ntz, algorithm string, target string, "
                "features string, artifact string, model_path string")
+PARAMS_SCHEMA = "run_id string, param string, value string"
+METRICS_SCHEMA = "run_id string, metric string, value double"
+IMPORTANCES_SCHEMA = "run_id string, feature string, importance double, rank int"
 REGISTRY_SCHEMA = "name string, version bigint, registered_at timestamp_ntz, run_id string, model_path string"
-
-
-def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """A run table, or an empty frame of ``schema`` before the first run.
-
-    Only a missing folder counts as no run; one that can't be read is an error.
-    """
-    try:
-        return spark.read.parquet(join_path(root, name)).select(*[c.split()[0] for c in schema.split(", ")])
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+TABLES = {"runs": RUNS_SCHEMA, "run_params": PARAMS_SCHEMA, "run_metrics": METRICS_SCHEMA, "run_importances": IMPORTANCES_SCHEMA,
+          "model_registry": REGISTRY_SCHEMA}
 
 
 def _append(df: DataFrame, root: str, name: str, entry: str) -> None:
@@ -92,9 +85,9 @@ def log_run(
     metrics = [(f"best_{k.capitalize() if k != 'f1' else 'F1'}", float(v)) for k, v in result.metrics.items()]
     imps = [(run_id, n, float(v), i + 1) for i, (n, v) in enumerate(result.importances or [])]
     tables = {
-        "run_params": spark.createDataFrame([(run_id, k, v) for k, v in params], "run_id string, param string, value string"),
-        "run_metrics": spark.createDataFrame([(run_id, k, v) for k, v in metrics], "run_id string, metric string, value double"),
-        "run_importances": spark.createDataFrame(imps, "run_id string, feature string, importance double, rank int"),
+        "run_params": spark.createDataFrame([(run_id, k, v) for k, v in params], PARAMS_SCHEMA),
+        "run_metrics": spark.createDataFrame([(run_id, k, v) for k, v in metrics], METRICS_SCHEMA),
+        "run_importances": spark.createDataFrame(imps, IMPORTANCES_SCHEMA),
     }
     for name, df in tables.items():
         _append(df, root, name, run_id)
@@ -203,3 +196,12 @@ def latest_version(spark: SparkSession, root: str, artifact: str = MODEL_ARTIFAC
     # A run killed between its registration and its row registers again when it is logged again: the first one counts.
     version = registry(spark, root).where((F.col("name") == name) & (F.col("run_id") == run["run_id"])).agg(F.min("version")).first()[0]
     return run["run_id"], name, version, run["model_path"]
+
+
+def compact_runs(spark: SparkSession, root: str, keep_seconds: float = 86_400.0) -> dict[str, int]:
+    """Merge the entries of every run table (:func:`tabforge.operators.run_log.compact_table`): files taken in, by table.
+
+    Runs may be logged and read meanwhile. Each table is merged by itself; a run
+    is visible by its row in ``runs``, which is read the same before and after.
+    """
+    return {name: compact_table(spark, root, name, schema, keep_seconds) for name, schema in TABLES.items()}
