@@ -4,12 +4,14 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.config import TUNING
-from tabforge.operators.runs import load_latest, log_run
+from tabforge.operators.run_log import read_table
+from tabforge.operators.runs import TABLES, compact_runs, load_latest, log_run
 from tabforge.operators.score import score_checked, scoring_input
 from tabforge.operators.train import train_select
 from tabforge.plans import bindings as b
@@ -180,6 +182,59 @@ def stream_model_swap(spark, sf_dir):
     return spark.read.parquet(join_path(root, "scored")).select("doc_id", "input_error", "response", "model_name", "model_version")
 
 
+STUMP = {"classification_models": ["DecisionTreeClassifier"], "hyperparameters": {"DecisionTreeClassifier": {"maxDepth": [0]}}}
+LOGGED_RULES = (2, 3, 5)
+
+
+def run_log(spark, sf_dir):
+    """What three runs left in the run tables, read after a compaction between them.
+
+    Run k learns by a tree without a split whether ``doc_id`` divides by k, so it
+    predicts the commoner answer and its metrics follow from counts. The run of
+    2 is logged, then 3, the tables are compacted, 3 is logged again (it replaces
+    its rows) and 5 is logged; one row for each parameter, metric and importance.
+    """
+    root = scratch_path(spark, "runs")
+    frame = b.doc_frame(spark, sf_dir)
+    for k in LOGGED_RULES:
+        ruled = frame.withColumn("response", F.when(F.col("doc_id") % k == 0, "yes").otherwise("no"))
+        res = train_select(prepare(ruled, RULE_SPEC), stages_for(RULE_SPEC), STUMP, "response", folds=2, seed=SEED)
+        log = lambda: log_run(spark, root, res, "response", model_columns(RULE_SPEC), run_id=f"run{k}")  # noqa: B023, E731
+        log()
+        if k == 3:
+            compact_runs(spark, root, keep_seconds=0)
+            log()
+    read = lambda name: read_table(spark, root, name, TABLES[name])
+    shown = ["best_algorithm", "target_column", "feature_columns", "best_maxDepth", "best_impurity"]
+    rows = [
+        read("runs").select("run_id", F.lit("run").alias("kind"), F.lit("algorithm").alias("name"), F.col("algorithm").alias("text"), F.lit(None).cast("double").alias("number")),
+        read("run_params").where(F.col("param").isin(shown)).select("run_id", F.lit("param"), "param", "value", F.lit(None).cast("double")),
+        read("run_metrics").select("run_id", F.lit("metric"), "metric", F.lit(None).cast("string"), F.round("value", 9)),
+        read("run_importances").groupBy("run_id").agg(F.count(F.lit(1)).cast("double").alias("slots"))
+                               .select("run_id", F.lit("importance"), F.lit("slots"), F.lit(None).cast("string"), "slots"),
+        read("model_registry").select("run_id", F.lit("version"), "name", F.lit(None).cast("string"), F.col("version").cast("double")),
+    ]
+    return reduce(DataFrame.union, rows)
+
+
+def _run_log_sql() -> str:
+    per_run = "\nUNION ALL ".join(
+        f"SELECT 'run{k}' AS run_id, {n}::DOUBLE AS version, count(*) AS n, greatest(count(*) FILTER (WHERE doc_id % {k} = 0), count(*) FILTER (WHERE doc_id % {k} <> 0)) AS m, "
+        "4 + count(DISTINCT lang) AS slots FROM f"  # three numbers, the index of source, a slot for each lang
+        for n, k in enumerate(LOGGED_RULES, 1))
+    texts = [("run", "algorithm", "DecisionTreeClassifier"), ("param", "best_algorithm", "DecisionTreeClassifier"), ("param", "target_column", "response"),
+             ("param", "feature_columns", ",".join(model_columns(RULE_SPEC))), ("param", "best_maxDepth", "0"), ("param", "best_impurity", "gini")]
+    numbers = [("metric", "best_F1", "p * 2 * p / (1 + p)"), ("metric", "best_Precision", "p * p"), ("metric", "best_Recall", "p"),
+               ("importance", "slots", "slots"), ("version", "Best_response_model_DecisionTreeClassifier", "version")]
+    parts = [f"SELECT run_id, '{kind}' AS kind, '{name}' AS name, '{text}' AS text, NULL::DOUBLE AS number FROM r" for kind, name, text in texts]
+    parts += [f"SELECT run_id, '{kind}', '{name}', NULL, round(({value})::DOUBLE, 9) FROM r" for kind, name, value in numbers]
+    return f"""WITH f AS (SELECT d.doc_id, d.lang FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+           WHERE d.lang IN ('en', 'de', 'fr') AND d.source IS NOT NULL AND d.text IS NOT NULL AND d.n_chars IS NOT NULL),
+c AS ({per_run}),
+r AS (SELECT *, m::DOUBLE / n AS p FROM c)
+""" + "\nUNION ALL ".join(parts)
+
+
 _RULE_SCORES = """
 WITH r AS (SELECT doc_id, CASE WHEN doc_id % 29 = 0 THEN 'xx' ELSE lang END AS lang,
                   doc_id % 11 = 0 OR doc_id % 13 = 0 OR doc_id % 17 = 0 OR doc_id % 19 = 0 OR doc_id % 23 = 0 AS bad FROM documents),
@@ -187,6 +242,7 @@ e AS (SELECT *, concat_ws(',', CASE WHEN bad THEN 'n_chars' END, CASE WHEN lang
 SELECT doc_id, nullif(err, '') AS input_error, CASE WHEN err = '' THEN CASE WHEN lang = 'en' THEN 'Yes' ELSE 'No' END END AS response FROM e"""
 
 ORACLE_SQL = {
+    "run_log": _run_log_sql(),
     "train_rule_select": """SELECT 'DecisionTreeClassifier' AS algorithm, 1.0::DOUBLE AS f1, 1.0::DOUBLE AS weighted_precision, 1.0::DOUBLE AS weighted_recall, 1.0::DOUBLE AS cv_f1,
        'lang' AS top_feature, 1.0::DOUBLE AS importance FROM documents WHERE lang = 'en' GROUP BY lang""",
     "score_rule": _RULE_SCORES,
@@ -196,6 +252,7 @@ ORACLE_SQL = {
 }
 
 QUERIES.update({
+    "run_log": run_log,
     "train_rule_select": train_rule_select,
     "score_rule": score_rule,
     "stream_rule": stream_rule,
