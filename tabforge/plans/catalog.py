@@ -19,15 +19,17 @@ from tabforge.operators import columns as cols
 from tabforge.operators import features as feat
 from tabforge.operators import filters as flt
 from tabforge.operators.category_index import category_index, indexed
+from tabforge.operators.keys import repeated_keys
 from tabforge.operators.metrics import weighted_metrics
 from tabforge.plans import bindings as b
 from tabforge.plans import oracle as o
 from tabforge.plans.clean import clean
 from tabforge.plans.prepare import prepare
-from tabforge.plans.snapshot import constraint_report, snapshot_null_counts, version_stamp, write_snapshot
+from tabforge.plans.snapshot import constraint_report, key_violations, snapshot_null_counts, version_stamp, write_snapshot
 from tabforge.session import scratch_path
 from tabforge.sources.files import dataset_name as src_name
 from tabforge.sources.files import read_parquet, read_text_table
+from tabforge.sources.schema import declared_constraints
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -251,8 +253,6 @@ def snapshot_null_counts_q(spark, sf_dir):
 
 
 def _constraint_sql() -> str:
-    from tabforge.sources.schema import declared_constraints
-
     parts = []
     for ck in declared_constraints(b.DIRTY_TABLES):
         t, c = ck["table"], ck["column"]
@@ -272,6 +272,20 @@ def constraint_report_q(spark, sf_dir):
     return constraint_report(spark, _snapshot_dirty(spark, sf_dir), b.DIRTY_TABLES)
 
 
+@register("key_violations", f"WITH {o.clean_cte()}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS key, count(*) AS rows FROM cleaned GROUP BY {c} HAVING count(*) > 1 OR {c} IS NULL"
+    for t, c in [(ck["table"], ck["column"]) for ck in declared_constraints(b.DIRTY_TABLES) if ck["primary_key"]]))
+def key_violations_q(spark, sf_dir):
+    """The keys that break a declared PRIMARY KEY, with their rows."""
+    return key_violations(spark, _snapshot_dirty(spark, sf_dir), b.DIRTY_TABLES)
+
+
+@register("repeated_keys", "SELECT l_orderkey AS key, count(*) AS rows FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def repeated_keys_q(spark, sf_dir):
+    """Every order key on more than one line: a key that most rows break."""
+    return repeated_keys(_t(spark, sf_dir, "lineitem", ["l_orderkey"]), "l_orderkey")
+
+
 @register("null_counts", f"WITH {o.dirty_cte()}\n" + "\nUNION ALL\n".join(
     f"SELECT 'dirty' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS nulls FROM dirty"
     for c in o.DIRTY_COLUMNS))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tabforge.config import COLUMN_TYPES, TABLE_SCHEMAS
 from tabforge.operators.aggregates import null_counts
+from tabforge.operators.keys import repeated_keys
 from tabforge.session import join_path
 from tabforge.sources.schema import declared_constraints, table_struct
 
@@ -110,21 +111,43 @@ def snapshot_null_counts(
     return reduce(DataFrame.unionByName, counts)
 
 
+def key_violations(
+    spark: SparkSession, paths: dict[str, str], table_schemas: dict[str, dict[str, str]] = TABLE_SCHEMAS
+) -> DataFrame:
+    """Rows that break a declared PRIMARY KEY, by key: ``(table_name, column_name, key, rows)``.
+
+    A key (as text) with the number of its rows where it stands on more than
+    one, and null with the number of rows without a key; nothing where a key is
+    kept. See :mod:`tabforge.operators.keys`.
+    """
+    def broken(ck: dict) -> list[DataFrame]:
+        rows = read_snapshot(spark, paths["_dir"], ck["table"]).select(ck["column"])
+        named = [F.lit(ck["table"]).alias("table_name"), F.lit(ck["column"]).alias("column_name")]
+        without = rows.where(F.col(ck["column"]).isNull()).agg(F.count(F.lit(1)).alias("rows")).where("rows > 0")
+        return [repeated_keys(rows, ck["column"]).select(*named, F.col("key").cast("string"), "rows"),
+                without.select(*named, F.lit(None).cast("string").alias("key"), "rows")]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        found = [df for dfs in pool.map(broken, [ck for ck in declared_constraints(table_schemas) if ck["primary_key"]]) for df in dfs]
+    if not found:
+        return spark.createDataFrame([], "table_name string, column_name string, key string, rows bigint")
+    return reduce(DataFrame.unionByName, found)
+
+
 def constraint_report(
     spark: SparkSession, paths: dict[str, str], table_schemas: dict[str, dict[str, str]] = TABLE_SCHEMAS
 ) -> DataFrame:
-    """Violations of the declared (unenforced) constraints, one aggregate per table:
+    """Violations of the declared (unenforced) constraints, one aggregate per table and one for all keys:
     ``(table_name, column_name, check_name, violations)`` for NOT NULL, PRIMARY KEY
     (rows minus distinct keys) and VARCHAR(n) (texts longer than n)."""
-    reports = []
+    reports, names = [], "table_name string, column_name string, check_name string"
+    declared = declared_constraints(table_schemas)
     for table in table_schemas:
         checks = {}
-        for ck in (x for x in declared_constraints(table_schemas) if x["table"] == table):
+        for ck in (x for x in declared if x["table"] == table):
             c = F.col(ck["column"])
             if ck["not_null"]:
                 checks[ck["column"], "not_null"] = F.sum(F.when(c.isNull(), 1).otherwise(0))
-            if ck["primary_key"]:
-                checks[ck["column"], "primary_key"] = F.count(F.lit(1)) - F.count_distinct(c)
             if ck["max_length"] is not None:
                 checks[ck["column"], f"max_length_{ck['max_length']}"] = F.sum(F.when(F.length(c.cast("string")) > ck["max_length"], 1).otherwise(0))
         if not checks:
@@ -134,6 +157,12 @@ def constraint_report(
             F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("column_name"), F.lit(k).alias("check_name"),
                      F.coalesce(F.col(f"v{i}"), F.lit(0)).cast("bigint").alias("violations"))
             for i, (c, k) in enumerate(checks)]))))
+    keys = [(ck["table"], ck["column"], "primary_key") for ck in declared if ck["primary_key"]]
+    if keys:
+        extra = F.col("rows") - F.when(F.col("key").isNull(), 0).otherwise(1)
+        broken = key_violations(spark, paths, table_schemas).groupBy("table_name", "column_name").agg(F.sum(extra).alias("violations"))
+        all_keys = spark.createDataFrame(keys, names)
+        reports.append(all_keys.join(broken, ["table_name", "column_name"], "left").select(*all_keys.columns, F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")))
     if not reports:
-        return spark.createDataFrame([], "table_name string, column_name string, check_name string, violations bigint")
+        return spark.createDataFrame([], f"{names}, violations bigint")
     return reduce(DataFrame.unionByName, reports)
