@@ -31,6 +31,8 @@ LENGTH = 1024
 WINDOW = 64 * LENGTH
 #: Rows of queue offsets (partitions times sources) up to which they are broadcast; beyond, they are joined.
 BROADCAST_ROWS = 200_000
+#: Distinct pieces whose ids a task keeps, and the rows and bytes of text it works on at once: an executor runs a worker for every core.
+KEEP, ROWS, BYTES = 250_000, 1000, 1 << 19
 
 
 class Chunks:
@@ -45,7 +47,7 @@ class Chunks:
     the spelling of a special token go to the tokenizer itself.
     """
 
-    def __init__(self, vocabulary: str, ranks: str, keep: int = 2_000_000):
+    def __init__(self, vocabulary: str, ranks: str, keep: int = KEEP):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
@@ -201,9 +203,9 @@ def tokenised(docs: DataFrame, vocabulary: str, ranks: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, before = Chunks(vocabulary, ranks), {}
         part = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             sources = batch.column("source").to_pylist()
-            for first, end, raw, ends in text_chunks(batch.column("text")):
+            for first, end, raw, ends in text_chunks(batch.column("text"), BYTES):
                 ids, stops = chunks.encode(raw, ends)
                 size = np.diff(stops, prepend=0) + 1  # with the end token
                 stops = np.cumsum(size)

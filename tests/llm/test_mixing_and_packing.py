@@ -126,6 +126,17 @@ def test_pieces_give_the_tokenizers_ids(tokenizer):
     assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_what_a_worker_keeps_of_pieces_is_bounded():
+    rng = random.Random(2)
+    chunks, most = packing.Chunks(*packing.vocabulary_paths()), 0
+    for _ in range(8):  # 600,000 distinct pieces
+        texts = pa.array([" ".join(f"w{rng.getrandbits(40):x}" for _ in range(750)) for _ in range(100)])
+        for _, _, raw, ends in text_chunks(texts, packing.BYTES):
+            chunks.encode(raw, ends)
+            most = max(most, len(chunks.known))
+    assert most < 400_000
+
+
 @pytest.mark.parametrize("weights", [None, [5, 2, 1, 1], [0, 0, 0, 1]])
 def test_rounds_take_every_token_once_at_the_shares(weights):
     totals = [1000, 50, 0, 700]
