@@ -34,6 +34,9 @@ from tabforge.operators.nested import shared_fits, staged_scores
 FOLD = "_fold"
 #: A fit's jobs have a task for so many rows at least: few rows are spread over the fits that run at once, not over the tasks of each.
 TASK_ROWS = 20_000
+#: A task for each core is enough as long as it has no more rows than these: every task of a tree's pass sends its own
+#: histograms of all nodes, so that more tasks than cores only add to what is scheduled and shuffled.
+MOST_TASK_ROWS = 1_000_000
 
 ESTIMATORS = {
     "DecisionTreeClassifier": DecisionTreeClassifier,
@@ -139,6 +142,11 @@ class _Folds:
             side.unpersist()
 
 
+def fit_tasks(rows: int, cores: int) -> int:
+    """How many tasks a fit's jobs have over ``rows``: by ``TASK_ROWS`` up to one for each core, then by ``MOST_TASK_ROWS``."""
+    return max(min(1 + rows // TASK_ROWS, cores), 1 + rows // MOST_TASK_ROWS)
+
+
 def train_select(
     df: DataFrame,
     stages: list,
@@ -172,7 +180,8 @@ def train_select(
     if not names:
         raise ValueError("no classifier configured")
     fold = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(folds))
-    data = df.withColumn(FOLD, fold).coalesce(1 + df.count() // TASK_ROWS).persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = fit_tasks(df.count(), df.sparkSession.sparkContext.defaultParallelism)
+    data = df.withColumn(FOLD, fold).coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     estimators = {n: make_estimator(n, features_col, label_col, seed) for n in names}
     grids = {n: param_grid(estimators[n], tuning) for n in names}
     points = [(n, i, p) for n in names for i, p in enumerate(grids[n])]

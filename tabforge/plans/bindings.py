@@ -21,6 +21,7 @@ from tabforge.operators.columns import drop_unnamed, normalize_headers
 from tabforge.plans.clean import CleanSpec
 from tabforge.plans.oracle import DATE_LAYOUTS
 from tabforge.plans.prepare import PrepareSpec
+from tabforge.session import scratch_path
 from tabforge.sources.files import read_parquet
 from tabforge.functions.text import na_to_null
 
@@ -163,10 +164,19 @@ def doc_measures(docs: DataFrame) -> DataFrame:
     )
 
 
-def doc_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents as a model table (label ``response`` yes/no)."""
+def measured_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures of all documents as a table in the shared folder: the texts are read once, however often its rows are."""
     docs = read_parquet(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text", "source", "lang", "n_chars"])
+    measures = doc_measures(docs)
+    path = scratch_path(spark, "measures")
+    measures.write.parquet(path)
+    return spark.read.schema(measures.schema).parquet(path)
+
+
+def doc_frame(spark: SparkSession, sf_dir: str, measures: DataFrame | None = None) -> DataFrame:
+    """Labelled documents as a model table (label ``response`` yes/no), from ``measures`` if they are at hand."""
+    measures = measured_docs(spark, sf_dir) if measures is None else measures
     labels = read_parquet(spark, f"{sf_dir}/labels.parquet", ["doc_id", "quality"])
-    joined = doc_measures(docs).join(labels, "doc_id")
+    joined = measures.join(labels, "doc_id")
     return joined.select(*[c for c in joined.columns if c != "quality"],
                          F.when(F.col("quality") == 1, "yes").otherwise("no").alias("response"))

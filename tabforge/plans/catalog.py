@@ -525,5 +525,5 @@ def version_number(spark, sf_dir):
 
 from tabforge.plans import ml_queries as _ml  # noqa: E402  (registers the ML queries)
 
-QUERIES.update(_ml.QUERIES)
+QUERIES.update(_ml.QUERIES | _ml.TRACKING_QUERIES)
 ORACLE_SQL.update({k: v.strip() for k, v in _ml.ORACLE_SQL.items()})

@@ -17,7 +17,6 @@ from tabforge.operators.train import train_select
 from tabforge.plans import bindings as b
 from tabforge.plans.prepare import model_columns, prepare, stages_for
 from tabforge.session import join_path, scratch_path
-from tabforge.sources.files import read_parquet
 from tabforge.streaming.score import start_scoring_stream, start_swapping_stream
 
 QUERIES: dict = {}
@@ -26,8 +25,8 @@ SEED = 42
 FOLDS = 5
 
 
-def _ready(spark: SparkSession, sf_dir: str, spec=b.DOC_PREPARE) -> DataFrame:
-    return prepare(b.doc_frame(spark, sf_dir), spec)
+def _ready(spark: SparkSession, sf_dir: str, spec=b.DOC_PREPARE, measures: DataFrame | None = None) -> DataFrame:
+    return prepare(b.doc_frame(spark, sf_dir, measures), spec)
 
 
 def _train(ready: DataFrame, spec):
@@ -54,30 +53,29 @@ NUMERIC = ["n_chars", "n_words", "n_lines"]
 TEXT = ["source", "lang"]
 
 
-def _train_and_log(spark, sf_dir, root):
-    res = _train(_ready(spark, sf_dir, SCORING_SPEC), SCORING_SPEC)
+def _train_and_log(spark, sf_dir, root, measures=None):
+    res = _train(_ready(spark, sf_dir, SCORING_SPEC, measures), SCORING_SPEC)
     return log_run(spark, root, res, "response", model_columns(SCORING_SPEC))
 
 
-def _requests(spark, sf_dir) -> DataFrame:
+def _requests(spark, sf_dir, measures: DataFrame | None = None) -> DataFrame:
     """Every document as a scoring request with text-typed fields."""
-    docs = read_parquet(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text", "source", "lang", "n_chars"])
-    m = b.doc_measures(docs)
+    m = b.measured_docs(spark, sf_dir) if measures is None else measures
     return m.select("doc_id", *[F.col(c).cast("string").alias(c) for c in NUMERIC], *TEXT)
 
 
-def load_and_score(spark, sf_dir, root):
+def load_and_score(spark, sf_dir, root, measures=None):
     """Load the latest run's model below ``root`` and score all documents (one row per document)."""
     model, _feats, _target, _run = load_latest(spark, root)
-    return score_checked(model, scoring_input(_requests(spark, sf_dir), NUMERIC, TEXT), keep=["doc_id"])
+    return score_checked(model, scoring_input(_requests(spark, sf_dir, measures), NUMERIC, TEXT), keep=["doc_id"])
 
 
-def load_and_stream(spark, sf_dir, root):
+def load_and_stream(spark, sf_dir, root, measures=None):
     """Requests written as files, scored by a Structured Streaming query into
     a Parquet sink; returns the sink (one row per request)."""
     model, _f, _t, _r = load_latest(spark, root)
     work = scratch_path(spark, "streams")
-    src, reqs = join_path(work, "requests"), _requests(spark, sf_dir)
+    src, reqs = join_path(work, "requests"), _requests(spark, sf_dir, measures)
     reqs.write.parquet(src)
     q = start_scoring_stream(spark, model, src, reqs.schema, join_path(work, "scored"),
                              join_path(work, "checkpoint"), NUMERIC, TEXT, keep=["doc_id"])
@@ -87,29 +85,31 @@ def load_and_stream(spark, sf_dir, root):
     return spark.read.parquet(join_path(work, "scored"))
 
 
-def trained_root(spark, sf_dir):
+def trained_root(spark, sf_dir, measures=None):
     """A runs folder with the best of the four trained models, logged."""
     root = scratch_path(spark, "runs")
-    _train_and_log(spark, sf_dir, root)
+    _train_and_log(spark, sf_dir, root, measures)
     return root
 
 
 def save_load_score(spark, sf_dir):
     """Train, save and register; load the latest run's model back; score all documents."""
-    return load_and_score(spark, sf_dir, trained_root(spark, sf_dir))
+    measures = b.measured_docs(spark, sf_dir)
+    return load_and_score(spark, sf_dir, trained_root(spark, sf_dir, measures), measures)
 
 
 def stream_score(spark, sf_dir):
     """Train, save and register; load the model back; score a stream of all documents."""
-    return load_and_stream(spark, sf_dir, trained_root(spark, sf_dir))
+    measures = b.measured_docs(spark, sf_dir)
+    return load_and_stream(spark, sf_dir, trained_root(spark, sf_dir, measures), measures)
 
 
 # A label that is an exact rule of a category, so that what is learnt is known: text in English is accepted.
 RULE_SPEC = replace(b.DOC_PREPARE, min_count=0, outlier_columns=[])
 
 
-def _rule_frame(spark, sf_dir) -> DataFrame:
-    frame = b.doc_frame(spark, sf_dir)
+def _rule_frame(spark, sf_dir, measures: DataFrame | None = None) -> DataFrame:
+    frame = b.doc_frame(spark, sf_dir, measures)
     return frame.withColumn("response", F.when(F.col("lang") == "en", "yes").otherwise("no"))
 
 
@@ -121,32 +121,34 @@ def train_rule_select(spark, sf_dir):
     return metrics.join(F.broadcast(top))  # one row each
 
 
-def _poisoned(spark, sf_dir) -> DataFrame:
+def _poisoned(spark, sf_dir, measures: DataFrame | None = None) -> DataFrame:
     """Requests of which some hold what is no number or an unseen category."""
     k = F.col("doc_id")
     bad = F.when(k % 11 == 0, "NaN").when(k % 13 == 0, "inf").when(k % 17 == 0, "1d").when(k % 19 == 0, "").when(k % 23 == 0, F.lit(None))
     broken = (k % 11 == 0) | (k % 13 == 0) | (k % 17 == 0) | (k % 19 == 0) | (k % 23 == 0)
-    return _requests(spark, sf_dir).withColumn("n_chars", F.when(broken, bad).otherwise(F.col("n_chars"))).withColumn(
+    return _requests(spark, sf_dir, measures).withColumn("n_chars", F.when(broken, bad).otherwise(F.col("n_chars"))).withColumn(
         "lang", F.when(k % 29 == 0, "xx").otherwise(F.col("lang"))).withColumn("source", F.lit("src0"))
 
 
-def _rule_model(spark, sf_dir, root):
-    res = _train(prepare(_rule_frame(spark, sf_dir), RULE_SPEC), RULE_SPEC)
+def _rule_model(spark, sf_dir, root, measures):
+    res = _train(prepare(_rule_frame(spark, sf_dir, measures), RULE_SPEC), RULE_SPEC)
     log_run(spark, root, res, "response", model_columns(RULE_SPEC))
     return load_latest(spark, root)[0]
 
 
 def score_rule(spark, sf_dir):
     """Train on the rule, save, load the latest run, score poisoned requests of every document."""
-    model = _rule_model(spark, sf_dir, scratch_path(spark, "runs"))
-    return score_checked(model, scoring_input(_poisoned(spark, sf_dir), NUMERIC, TEXT), keep=["doc_id"])
+    measures = b.measured_docs(spark, sf_dir)
+    model = _rule_model(spark, sf_dir, scratch_path(spark, "runs"), measures)
+    return score_checked(model, scoring_input(_poisoned(spark, sf_dir, measures), NUMERIC, TEXT), keep=["doc_id"])
 
 
 def stream_rule(spark, sf_dir):
     """The same requests as files, scored by a stream in several batches."""
     root = scratch_path(spark, "streams")
-    model = _rule_model(spark, sf_dir, join_path(root, "runs"))
-    requests = _poisoned(spark, sf_dir)
+    measures = b.measured_docs(spark, sf_dir)
+    model = _rule_model(spark, sf_dir, join_path(root, "runs"), measures)
+    requests = _poisoned(spark, sf_dir, measures)
     requests.repartition(3).write.parquet(join_path(root, "requests"))
     q = start_scoring_stream(spark, model, join_path(root, "requests"), requests.schema, join_path(root, "scored"),
                              join_path(root, "checkpoint"), NUMERIC, TEXT, keep=["doc_id"], max_files_per_trigger=1)
@@ -167,8 +169,9 @@ def stream_model_swap(spark, sf_dir):
     """
     root = scratch_path(spark, "streams")
     tree = {"classification_models": ["DecisionTreeClassifier"], "hyperparameters": TUNING["hyperparameters"]}
-    requests = _poisoned(spark, sf_dir)
-    frame = b.doc_frame(spark, sf_dir)
+    measures = b.measured_docs(spark, sf_dir)
+    requests = _poisoned(spark, sf_dir, measures)
+    frame = b.doc_frame(spark, sf_dir, measures)
     for parity, accepted in ((0, "en"), (1, "de")):
         ruled = frame.withColumn("response", F.when(F.col("lang") == accepted, "yes").otherwise("no"))
         res = train_select(prepare(ruled, RULE_SPEC), stages_for(RULE_SPEC), tree, "response", folds=FOLDS, seed=SEED)
@@ -252,13 +255,13 @@ ORACLE_SQL = {
 }
 
 QUERIES.update({
-    "run_log": run_log,
     "train_rule_select": train_rule_select,
     "score_rule": score_rule,
     "stream_rule": stream_rule,
-    "stream_model_swap": stream_model_swap,
     "train_select_best": train_select_best,
     "feature_importance": feature_importance,
     "save_load_score": save_load_score,
     "stream_score": stream_score,
 })
+# Queries about what is logged and served: a search of one classifier gives them their runs.
+TRACKING_QUERIES = {"run_log": run_log, "stream_model_swap": stream_model_swap}

@@ -200,3 +200,55 @@ def test_nan_and_infinite_typed_inputs_are_flagged(spark, trained):
     df = spark.createDataFrame(rows, ready.withColumn("rid", F.lit(1)).schema)
     got = {r.rid: (r.response is not None, r.input_error) for r in score_checked(res.best_model, df, keep=["rid"]).collect()}
     assert got == {0: (True, None)} | {i: (False, spec.numeric[0]) for i in (1, 2, 3)}
+
+
+def test_fits_have_no_more_tasks_than_cores():
+    from tabforge.operators.train import fit_tasks
+
+    assert [fit_tasks(n, 12) for n in (0, 19_999, 20_000, 155_000)] == [1, 1, 2, 8]  # few rows: as few tasks as before
+    assert fit_tasks(930_000, 12) == 12 and fit_tasks(11_999_999, 12) == 12
+    assert fit_tasks(100_000_000, 12) == 101  # a task's rows stay bounded
+
+
+@pytest.mark.parametrize("name", ["train_rule_select", "score_rule", "run_log", "stream_model_swap"])
+def test_texts_are_measured_once(spark, sf_small, monkeypatch, name):
+    frames, measured = [], []
+
+    class Trained(Exception):
+        pass
+
+    def search(df, *_, **__):
+        frames.append(df)
+        raise Trained
+
+    def measures(*a, plain=ml_queries.b.measured_docs):
+        measured.append(a)
+        return plain(*a)
+
+    monkeypatch.setattr(ml_queries, "train_select", search)
+    monkeypatch.setattr(ml_queries.b, "measured_docs", measures)
+    with pytest.raises(Trained):
+        (ml_queries.QUERIES | ml_queries.TRACKING_QUERIES)[name](spark, sf_small)
+    assert len(measured) == 1 and not [f for f in frames[0].inputFiles() if "documents.parquet" in f]
+
+
+@pytest.mark.parametrize("name", ["save_load_score", "stream_score", "score_rule", "stream_rule"])
+def test_requests_come_from_the_measures_of_training(spark, sf_small, monkeypatch, name):
+    measured, scored = [], []
+    monkeypatch.setattr(ml_queries.b, "measured_docs", lambda *a, plain=ml_queries.b.measured_docs: measured.append(a) or plain(*a))
+    monkeypatch.setattr(ml_queries, "train_select", lambda *_, **__: None)
+    monkeypatch.setattr(ml_queries, "log_run", lambda *_, **__: "run")
+    monkeypatch.setattr(ml_queries, "load_latest", lambda *_: (None, [], "response", "run"))
+
+    class Scored(Exception):
+        pass
+
+    def take(*args, **__):
+        scored.append(args)
+        raise Scored
+
+    monkeypatch.setattr(ml_queries, "score_checked", take)
+    monkeypatch.setattr(ml_queries, "start_scoring_stream", take)
+    with pytest.raises(Scored):
+        ml_queries.QUERIES[name](spark, sf_small)
+    assert len(measured) == 1 and len(scored) == 1
