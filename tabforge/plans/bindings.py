@@ -164,18 +164,21 @@ def doc_measures(docs: DataFrame) -> DataFrame:
     )
 
 
+def _doc_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc_measures(read_parquet(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text", "source", "lang", "n_chars"]))
+
+
 def measured_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures of all documents as a table in the shared folder: the texts are read once, however often its rows are."""
-    docs = read_parquet(spark, f"{sf_dir}/documents.parquet", ["doc_id", "text", "source", "lang", "n_chars"])
-    measures = doc_measures(docs)
+    measures = _doc_measures(spark, sf_dir)
     path = scratch_path(spark, "measures")
     measures.write.parquet(path)
     return spark.read.schema(measures.schema).parquet(path)
 
 
 def doc_frame(spark: SparkSession, sf_dir: str, measures: DataFrame | None = None) -> DataFrame:
-    """Labelled documents as a model table (label ``response`` yes/no), from ``measures`` if they are at hand."""
-    measures = measured_docs(spark, sf_dir) if measures is None else measures
+    """Labelled documents as a model table (label ``response`` yes/no), from ``measures`` (:func:`measured_docs`) or else the texts themselves."""
+    measures = _doc_measures(spark, sf_dir) if measures is None else measures
     labels = read_parquet(spark, f"{sf_dir}/labels.parquet", ["doc_id", "quality"])
     joined = measures.join(labels, "doc_id")
     return joined.select(*[c for c in joined.columns if c != "quality"],

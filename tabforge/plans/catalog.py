@@ -373,7 +373,7 @@ SELECT n_chars, n_words, n_lines, source, lang,
   CAST(CASE WHEN lower(response) = 'yes' THEN 1 WHEN lower(response) = 'no' THEN 0 END AS INTEGER) AS response
 FROM t3""")
 def prepare_features(spark, sf_dir):
-    return prepare(b.doc_frame(spark, sf_dir), b.DOC_PREPARE)
+    return prepare(b.doc_frame(spark, sf_dir, b.measured_docs(spark, sf_dir)), b.DOC_PREPARE)
 
 
 @register("category_report", f"""WITH {o.doc_frame_cte()},
@@ -384,7 +384,7 @@ g AS (SELECT * FROM a WHERE lang IN (SELECT lang FROM a GROUP BY lang HAVING cou
 {o.iqr_step('t2', 't3', 'n_lines')}
 SELECT lang, count(*) AS count FROM t3 GROUP BY lang""")
 def category_report(spark, sf_dir):
-    return agg.group_counts(prepare(b.doc_frame(spark, sf_dir), b.DOC_PREPARE), "lang")
+    return agg.group_counts(prepare(b.doc_frame(spark, sf_dir, b.measured_docs(spark, sf_dir)), b.DOC_PREPARE), "lang")
 
 
 # --- labels ------------------------------------------------------------------------

@@ -26,7 +26,7 @@ FOLDS = 5
 
 
 def _ready(spark: SparkSession, sf_dir: str, spec=b.DOC_PREPARE, measures: DataFrame | None = None) -> DataFrame:
-    return prepare(b.doc_frame(spark, sf_dir, measures), spec)
+    return prepare(b.doc_frame(spark, sf_dir, b.measured_docs(spark, sf_dir) if measures is None else measures), spec)
 
 
 def _train(ready: DataFrame, spec):
@@ -109,7 +109,7 @@ RULE_SPEC = replace(b.DOC_PREPARE, min_count=0, outlier_columns=[])
 
 
 def _rule_frame(spark, sf_dir, measures: DataFrame | None = None) -> DataFrame:
-    frame = b.doc_frame(spark, sf_dir, measures)
+    frame = b.doc_frame(spark, sf_dir, b.measured_docs(spark, sf_dir) if measures is None else measures)
     return frame.withColumn("response", F.when(F.col("lang") == "en", "yes").otherwise("no"))
 
 
@@ -198,7 +198,7 @@ def run_log(spark, sf_dir):
     its rows) and 5 is logged; one row for each parameter, metric and importance.
     """
     root = scratch_path(spark, "runs")
-    frame = b.doc_frame(spark, sf_dir)
+    frame = b.doc_frame(spark, sf_dir, b.measured_docs(spark, sf_dir))
     for k in LOGGED_RULES:
         ruled = frame.withColumn("response", F.when(F.col("doc_id") % k == 0, "yes").otherwise("no"))
         res = train_select(prepare(ruled, RULE_SPEC), stages_for(RULE_SPEC), STUMP, "response", folds=2, seed=SEED)
