@@ -210,6 +210,40 @@ def test_fits_have_no_more_tasks_than_cores():
     assert fit_tasks(100_000_000, 12) == 101  # a task's rows stay bounded
 
 
+def test_chains_of_short_passes_have_few_tasks():
+    from tabforge.operators.train import chain_tasks, fit_tasks
+
+    assert [chain_tasks(n, 12) for n in (0, 19_999, 155_000, 930_000)] == [1, 1, 1, 4]
+    assert chain_tasks(100_000_000, 12) == fit_tasks(100_000_000, 12)  # a task's rows stay bounded
+
+
+def test_only_forests_have_a_task_for_each_part_and_every_score_stays(spark, trained, monkeypatch):
+    from tabforge.operators import train
+
+    spec, ready, _ = trained
+    every = {"classification_models": list(train.ESTIMATORS),
+             "hyperparameters": {"DecisionTreeClassifier": {"maxDepth": [2, 4]}, "RandomForestClassifier": {"numTrees": [3], "maxDepth": [3, 9]},
+                                 "LogisticRegression": {"regParam": [0.01]}, "GBTClassifier": {"maxIter": [2, 3], "maxDepth": [2]}}}
+    frame = ready.repartition(3, "age").cache()
+    monkeypatch.setattr(train, "TASK_ROWS", 40)
+    parts = {}
+    for name, kind in train.ESTIMATORS.items():
+        def fit(self, rows, params=None, name=name, plain=kind.fit):
+            parts.setdefault(name, set()).add(rows.rdd.getNumPartitions())
+            return plain(self, rows, params)
+
+        monkeypatch.setattr(kind, "fit", fit)
+    run = lambda: train_select(frame, stages_for(spec), every, "response", folds=2, seed=1)
+    few = run()
+    assert parts == {n: {1} for n in train.ESTIMATORS} | {"RandomForestClassifier": {min(3, spark.sparkContext.defaultParallelism)}}
+    monkeypatch.setattr(train, "CHAIN_TASK_ROWS", 1)
+    monkeypatch.setattr(train, "make_estimator", lambda *a, plain=train.make_estimator: plain(*a).setCacheNodeIds(False) if a[0] == "RandomForestClassifier" else plain(*a))
+    many = run()
+    assert train.chain_tasks(240, 8) > 1 and few.best_name == many.best_name
+    assert [r[:4] for r in few.grid] == [r[:4] for r in many.grid] and [r[4] for r in few.grid] == pytest.approx([r[4] for r in many.grid], abs=1e-9)
+    frame.unpersist()
+
+
 @pytest.mark.parametrize("name", ["train_rule_select", "score_rule", "run_log", "stream_model_swap"])
 def test_texts_are_measured_once(spark, sf_small, monkeypatch, name):
     frames, measured = [], []
