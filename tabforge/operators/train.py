@@ -37,11 +37,12 @@ TASK_ROWS = 20_000
 #: A task for each core is enough as long as it has no more rows than these: every task of a tree's pass sends its own
 #: histograms of all nodes, so that more tasks than cores only add to what is scheduled and shuffled.
 MOST_TASK_ROWS = 1_000_000
-#: Boosting, single trees and regressions are chains of many short passes: a task takes so many rows before a fit has another
-#: one, as several fits run at once anyway and a pass over fewer rows costs less than sending its task and its histograms.
+#: A regression is a chain of many short passes, and scoring a fold is one: a task takes so many rows before there is another
+#: one, as several fits run at once anyway and a pass over fewer rows costs less than sending its task.
 CHAIN_TASK_ROWS = 250_000
-#: Forests draw each partition's rows from a stream of its own: other partitions would be another forest, so theirs are left.
-DRAWS_ROWS = ("RandomForestClassifier",)
+#: Forests draw rows, and every tree the rows that its split bounds come from (beyond 10,000 rows), by partition: other
+#: partitions would give other models, so theirs are left.
+DRAWS_ROWS = ("DecisionTreeClassifier", "RandomForestClassifier", "GBTClassifier")
 
 ESTIMATORS = {
     "DecisionTreeClassifier": DecisionTreeClassifier,

@@ -217,7 +217,7 @@ def test_chains_of_short_passes_have_few_tasks():
     assert chain_tasks(100_000_000, 12) == fit_tasks(100_000_000, 12)  # a task's rows stay bounded
 
 
-def test_only_forests_have_a_task_for_each_part_and_every_score_stays(spark, trained, monkeypatch):
+def test_fits_that_draw_rows_keep_their_parts_and_every_score_stays(spark, trained, monkeypatch):
     from tabforge.operators import train
 
     spec, ready, _ = trained
@@ -235,7 +235,8 @@ def test_only_forests_have_a_task_for_each_part_and_every_score_stays(spark, tra
         monkeypatch.setattr(kind, "fit", fit)
     run = lambda: train_select(frame, stages_for(spec), every, "response", folds=2, seed=1)
     few = run()
-    assert parts == {n: {1} for n in train.ESTIMATORS} | {"RandomForestClassifier": {min(3, spark.sparkContext.defaultParallelism)}}
+    own = {min(3, spark.sparkContext.defaultParallelism)}
+    assert parts == {n: own if n in train.DRAWS_ROWS else {1} for n in train.ESTIMATORS} and len(train.DRAWS_ROWS) == 3
     monkeypatch.setattr(train, "CHAIN_TASK_ROWS", 1)
     monkeypatch.setattr(train, "make_estimator", lambda *a, plain=train.make_estimator: plain(*a).setCacheNodeIds(False) if a[0] == "RandomForestClassifier" else plain(*a))
     many = run()
